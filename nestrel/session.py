@@ -21,6 +21,7 @@ def get_spark(master: str | None = None, app: str = "nestrel",
         builder = builder.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         # Runtime re-planning: coalesce small shuffle partitions, split skewed
         # join partitions, turn joins whose measured side is small into
