@@ -75,29 +75,36 @@ def light_stem(w: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lowercased tokens, empty strings removed."""
+    """Lowercased tokens, empty strings removed (duplicates kept)."""
     parts = F.split(F.lower(text), TOKEN_SPLIT)
     return F.filter(parts, lambda t: t != F.lit(""))
 
 
+def _stop_array(stop_words=ENGLISH_STOP_WORDS) -> Column:
+    return F.array(*[F.lit(w) for w in ("", *stop_words)])
+
+
 def without_stop_words(toks: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(toks, lambda t: ~F.array_contains(stop, t))
+    """Distinct tokens that are not stop words (one hash-based expression)."""
+    return F.array_except(toks, _stop_array(stop_words))
 
 
 def lexemes(text: Column, kind: str = "exact") -> Column:
-    """Distinct lexemes of a text (a set: positions are never used)."""
-    toks = without_stop_words(tokens(text))
+    """Distinct lexemes of a text (a set: positions are never used).
+
+    ``array_except`` drops empty tokens and stop words and de-duplicates in
+    one built-in expression, so stemming runs once per distinct token of a
+    document, not once per occurrence.
+    """
+    distinct_tokens = F.array_except(F.split(F.lower(text), TOKEN_SPLIT), _stop_array())
     if kind == "exact":
-        out = toks
-    elif kind == "light":
-        out = F.transform(toks, light_stem)
-    elif kind == "porter2":
+        return distinct_tokens
+    if kind == "light":
+        return F.array_distinct(F.transform(distinct_tokens, light_stem))
+    if kind == "porter2":
         from nestrel.functions.porter2 import stem_tokens
-        out = stem_tokens(toks)
-    else:
-        raise ValueError(f"unknown normaliser {kind!r}")
-    return F.array_distinct(out)
+        return F.array_distinct(stem_tokens(distinct_tokens))
+    raise ValueError(f"unknown normaliser {kind!r}")
 
 
 def query_terms(query: str) -> list[str]:
@@ -111,10 +118,43 @@ def query_lexemes(query: str, kind: str = "exact") -> Column:
     return F.array_distinct(F.flatten(F.array(*parts)))
 
 
+def _prefix_filter(text: Column, query: str, kind: str) -> Column | None:
+    """A necessary condition for a match, cheap enough to run first.
+
+    For ``exact`` and ``light`` every lexeme minus its last character is a
+    prefix of the token it came from (suffixes are only cut, then at most one
+    ``e`` is appended or one doubled letter dropped), and the token is a
+    substring of the lowercased text. So a document can only match if its
+    lowercased text contains one of those prefixes. ``porter2`` rewrites
+    suffixes, so it gets no pre-filter.
+    """
+    if kind not in ("exact", "light"):
+        return None
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return None
+    # normalise the query literal once, with the very same expression
+    lex = spark.range(1).select(query_lexemes(query, kind).alias("q")).first()["q"] or []
+    probes = sorted({w[:-1] if len(w) > 1 else w for w in lex})
+    if not probes:
+        return F.lit(False)
+    low = F.lower(text)
+    cond = None
+    for p in probes:
+        c = F.instr(low, p) > 0
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
 def matches(text: Column, query: str, kind: str = "exact") -> Column:
     """``to_tsquery(query) @@ to_tsvector(text)`` for OR and single-term queries.
 
     NULL text gives NULL (a filter drops it), as in the relational engine.
+    A cheap substring pre-filter runs first; the exact lexeme test only runs
+    on the texts it lets through.
     """
-    return F.when(text.isNull(), F.lit(None).cast("boolean")).otherwise(
-        F.arrays_overlap(lexemes(text, kind), query_lexemes(query, kind)))
+    full = F.arrays_overlap(lexemes(text, kind), query_lexemes(query, kind))
+    pre = _prefix_filter(text, query, kind)
+    test = full if pre is None else F.when(pre, full).otherwise(F.lit(False))
+    return F.when(text.isNull(), F.lit(None).cast("boolean")).otherwise(test)

@@ -9,11 +9,13 @@ hence no unbounded group ever gathered into one value):
 ``entity_docs(part)``    {id, name, species{name}, height, weight,
                           stats[{base_stat}], types[{type{name}}], type{url}}
 ``family_docs(part)``    tree brand -> type -> name (family id = part key)
-``text_docs(documents ⟕ labels)``
+``text_entity_docs(documents ⟕ labels)``
                          {id, species{name}, n_chars, quality (JSON null when
-                          unlabelled), stats[...], types[...],
-                          flavor_text_entries[{flavor_text, language{name}}],
-                          chain: source -> lines -> sentences}
+                          unlabelled), stats[...], types[...]}
+``entries_docs(documents)``
+                         {id, flavor_text_entries[{flavor_text, language{name}}]}
+``outline_docs(documents)``
+                         {id, chain: source -> lines -> sentences}
 ``responses(events)``    landed HTTP responses {id, url, status, body}
 
 Each document is JSON text; consumers parse it with an explicit schema.
@@ -88,50 +90,73 @@ def family_docs(part: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- texts
-TEXT_SCHEMA = T.StructType([
+# Three staged sources per document, like separate landing tables for the
+# entity, its text entries and its family tree: each consumer parses only
+# the source it needs.
+_NAME = T.StructType([T.StructField("name", T.StringType())])
+
+TEXT_ENTITY_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
-    T.StructField("species", T.StructType([T.StructField("name", T.StringType())])),
+    T.StructField("species", _NAME),
     T.StructField("n_chars", T.LongType()),
     T.StructField("quality", T.IntegerType()),
     T.StructField("stats", T.ArrayType(T.StructType([T.StructField("base_stat", T.LongType())]))),
-    T.StructField("types", T.ArrayType(T.StructType([
-        T.StructField("type", T.StructType([T.StructField("name", T.StringType())]))]))),
+    T.StructField("types", T.ArrayType(T.StructType([T.StructField("type", _NAME)]))),
+])
+
+ENTRIES_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
     T.StructField("flavor_text_entries", T.ArrayType(T.StructType([
         T.StructField("flavor_text", T.StringType()),
-        T.StructField("language", T.StructType([T.StructField("name", T.StringType())]))]))),
-    T.StructField("chain", node_schema(4, CHILD)),
+        T.StructField("language", _NAME)]))),
+])
+
+OUTLINE_DEPTH = 4
+OUTLINE_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("chain", node_schema(OUTLINE_DEPTH, CHILD)),
 ])
 
 
-def text_docs(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(id, body)`` text documents, one per document row.
+def _lines():
+    return F.split(F.col("text"), "\n")
 
-    ``quality`` comes from ``labels`` and is JSON ``null`` for unlabelled
-    documents. Entries are the text's lines, each tagged with the document
-    language. ``chain`` is the outline tree source -> lines -> sentences.
-    """
-    lab = labels.select("doc_id", "quality")
-    d = documents.join(lab, "doc_id", "left")
-    lines = F.split(F.col("text"), "\n")
-    empty = F.array().cast(T.ArrayType(node_schema(1, CHILD)))
-    chain = _node(F.col("source"), F.transform(lines, lambda l: _node(
-        l, F.transform(F.split(l, r"\. "), lambda s: _node(s, empty)))))
+
+def text_entity_docs(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(id, body)``: species = source, n_chars, quality (JSON ``null`` when
+    the document is unlabelled), stats = [line count, word count], types = [lang]."""
+    d = documents.join(labels.select("doc_id", "quality"), "doc_id", "left")
     body = F.struct(
         F.col("doc_id").alias("id"),
         F.struct(F.col("source").alias("name")).alias("species"),
         F.col("n_chars"),
         F.col("quality"),
-        F.array(F.struct(F.size(lines).cast("bigint").alias("base_stat")),
+        F.array(F.struct(F.size(_lines()).cast("bigint").alias("base_stat")),
                 F.struct(F.size(F.split(F.col("text"), " ")).cast("bigint").alias("base_stat"))).alias("stats"),
         F.array(F.struct(F.struct(F.col("lang").alias("name")).alias("type"))).alias("types"),
-        F.transform(lines, lambda l: F.struct(
-            l.alias("flavor_text"), F.struct(F.col("lang").alias("name")).alias("language"))
-        ).alias("flavor_text_entries"),
-        chain.alias("chain"),
     )
     return d.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
 
 
+def entries_docs(documents: DataFrame) -> DataFrame:
+    """``(id, body)``: the text's lines as entries, each tagged with the language."""
+    body = F.struct(
+        F.col("doc_id").alias("id"),
+        F.transform(_lines(), lambda l: F.struct(
+            l.alias("flavor_text"), F.struct(F.col("lang").alias("name")).alias("language"))
+        ).alias("flavor_text_entries"))
+    return documents.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
+
+
+def outline_docs(documents: DataFrame) -> DataFrame:
+    """``(id, body)``: the outline tree source -> lines -> sentences."""
+    empty = F.array().cast(T.ArrayType(node_schema(1, CHILD)))
+    chain = _node(F.col("source"), F.transform(_lines(), lambda l: _node(
+        l, F.transform(F.split(l, r"\. "), lambda s: _node(s, empty)))))
+    body = F.struct(F.col("doc_id").alias("id"), chain.alias("chain"))
+    return documents.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
+
+
 # ---------------------------------------------------------------- responses
 def responses(events: DataFrame) -> DataFrame:
     """Landed HTTP responses: an ``error`` event plays a failed (404) fetch."""

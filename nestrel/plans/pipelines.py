@@ -62,18 +62,16 @@ def entity_table(entity_docs: DataFrame, entity_schema: T.StructType,
 def build_entity(spark: SparkSession, sf_dir: str, render_arrays: bool = True) -> DataFrame:
     """The entity pipeline on documents derived from the driver tables.
 
-    Entity, tree and text documents are all views of the per-document JSON
-    (``plans.docs.text_docs``): species = source, stats = line/word counts,
-    types = [lang], tree = source -> lines -> sentences, entries = lines.
+    The three staged sources are derived per document row (``plans.docs``):
+    species = source, stats = line/word counts, types = [lang],
+    tree = source -> lines -> sentences, entries = lines.
     """
     from nestrel.plans import docs as D
     from nestrel.sources.tables import table
-    docs = D.text_docs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    schema = D.TEXT_SCHEMA
-    ent_schema = T.StructType([f for f in schema.fields if f.name not in ("chain", "flavor_text_entries")])
-    tree_schema = T.StructType([schema["id"], schema["chain"]])
-    text_schema = T.StructType([schema["id"], schema["flavor_text_entries"]])
-    out = entity_table(docs, ent_schema, docs, tree_schema, 4, docs, text_schema,
+    documents = table(spark, sf_dir, "documents")
+    out = entity_table(D.text_entity_docs(documents, table(spark, sf_dir, "labels")), D.TEXT_ENTITY_SCHEMA,
+                       D.outline_docs(documents), D.OUTLINE_SCHEMA, D.OUTLINE_DEPTH,
+                       D.entries_docs(documents), D.ENTRIES_SCHEMA,
                        height="n_chars", weight="quality")
     if render_arrays:
         out = out.withColumn("type", F.array_join("type", ","))
