@@ -48,14 +48,22 @@ def all_names(root: Column, depth: int, child_key: str = "evolves_to",
 
 
 def family_by_name(trees: DataFrame, family_col: str, names: Column,
-                   name_col: str = "name") -> DataFrame:
+                   name_col: str = "name", wanted: DataFrame | None = None) -> DataFrame:
     """``(name, family)`` with one row per name: the smallest family id whose
     tree contains the name.
 
     A name in several trees would multiply an entity row in the left join;
     the explicit dedup makes the lookup one-to-one. ``min`` aggregates
     partially, so a name shared by a third of the trees is cheap.
+
+    ``wanted`` (a DataFrame with ``name_col``) restricts the lookup to names
+    that can be joined at all; the semi join runs before the aggregation, so
+    tree names nobody asks for are dropped before the shuffle. AQE turns it
+    into a broadcast semi join when the measured name set is small.
     """
-    return (trees.select(F.col(family_col).alias("__fam"), F.explode(names).alias(name_col))
-                 .where(F.col(name_col).isNotNull())
-                 .groupBy(name_col).agg(F.min("__fam").alias(family_col)))
+    exploded = (trees.select(F.col(family_col).alias("__fam"), F.explode(names).alias(name_col))
+                     .where(F.col(name_col).isNotNull()))
+    if wanted is not None:
+        exploded = exploded.join(wanted.select(name_col).where(F.col(name_col).isNotNull()),
+                                 name_col, "left_semi")
+    return exploded.groupBy(name_col).agg(F.min("__fam").alias(family_col))

@@ -43,7 +43,8 @@ def entity_table(entity_docs: DataFrame, entity_schema: T.StructType,
 
     trees = tree_docs.select(J.parse(F.col("body"), tree_schema).alias("j")) \
         .select(F.col("j.id").alias("evo_set"), F.col("j.chain").alias("chain"))
-    fam = TR.family_by_name(trees, "evo_set", TR.all_names(F.col("chain"), tree_depth, child_key))
+    fam = TR.family_by_name(trees, "evo_set", TR.all_names(F.col("chain"), tree_depth, child_key),
+                            wanted=pd.select("name"))
     out = pd.join(fam, "name", "left")
 
     if text_docs is not None:
