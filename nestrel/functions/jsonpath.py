@@ -67,3 +67,14 @@ def concat_arrays(*arrays: Column) -> Column:
 def to_json_doc(struct_col: Column, keep_nulls: bool = True) -> Column:
     """Serialise a struct to a JSON document; NULL fields are written as ``null``."""
     return F.to_json(struct_col, {"ignoreNullFields": "false" if keep_nulls else "true"})
+
+
+def split_valid(docs, schema: T.StructType, body: str = "body", alias: str = "j"):
+    """(parsed valid documents, malformed documents).
+
+    A malformed body parses to a row whose ``_corrupt_record`` holds the raw
+    text; those rows are quarantined instead of loading a row of NULLs.
+    """
+    parsed = docs.withColumn(alias, parse(F.col(body), schema, keep_corrupt=True))
+    bad = F.col(f"{alias}.{CORRUPT}").isNotNull() | F.col(body).isNull()
+    return parsed.where(~bad), parsed.where(bad).drop(alias)

@@ -35,7 +35,8 @@ def entity_table(entity_docs: DataFrame, entity_schema: T.StructType,
                  text_docs: DataFrame | None, text_schema: T.StructType | None,
                  lang: str = "en", child_key: str = "evolves_to",
                  height: str = "height", weight: str = "weight") -> DataFrame:
-    ent = entity_docs.select(J.parse(F.col("body"), entity_schema).alias("j")).select("j.*")
+    # malformed documents are left out here; ``jsonpath.split_valid`` returns them
+    ent = J.split_valid(entity_docs, entity_schema)[0].select("j.*").drop(J.CORRUPT)
     stats = [J.index(F.col("stats"), i).base_stat.alias(n) for i, n in enumerate(STAT_NAMES)]
     pd = ent.select(F.col("id"), J.field(F.col("species"), "name").alias("name"),
                     F.col(height).alias("height"), F.col(weight).alias("weight"), *stats,
@@ -77,3 +78,40 @@ def build_entity(spark: SparkSession, sf_dir: str, render_arrays: bool = True) -
     if render_arrays:
         out = out.withColumn("type", F.array_join("type", ","))
     return out
+
+
+def lookup_table(listing_docs: DataFrame, schema: T.StructType) -> DataFrame:
+    """Listing page -> ``(id, name)``: parallel unnest of ``results[].url`` and
+    ``results[].name`` (zipped, not crossed), id taken from the URL."""
+    j = listing_docs.select(J.parse(F.col("body"), schema).alias("j"))
+    rows = j.select(F.inline(F.col("j.results")))
+    return rows.select(X.url_id(F.col("url"), X.URL_ID_STRICT).alias("id"), F.col("name"))
+
+
+def bridge_table(entity_docs: DataFrame, schema: T.StructType, array_field: str, url_path: str,
+                 right_key: str, distinct: bool = False, left_key: str = "poke_id") -> DataFrame:
+    """Entity -> ``(left_key, right_key)`` pairs from the ids in an array of URLs.
+
+    ``distinct`` de-duplicates pairs (sources that list an item twice)."""
+    j = entity_docs.select(J.parse(F.col("body"), schema).alias("j"))
+    urls = J.path_array(F.col(f"j.{array_field}"), url_path)
+    out = j.select(F.col("j.id").alias(left_key), F.explode(urls).alias("__u")) \
+        .select(left_key, X.url_id(F.col("__u"), X.URL_ID_STRICT).alias(right_key))
+    return out.dropDuplicates([left_key, right_key]) if distinct else out
+
+
+def described_table(docs: DataFrame, schema: T.StructType, columns: list, lang: str = "en") -> DataFrame:
+    """Documents -> typed rows + ``info``: the first ``lang`` flavour text
+    (cleaned of line/form feeds), else the first ``lang`` effect text (cleaned
+    of double line feeds, line feeds, form feeds and double spaces).
+
+    All in-row: no window, no join back, no shuffle.
+    """
+    j = docs.select(J.parse(F.col("body"), schema).alias("j")).select("j.*")
+
+    def first(field, text_field):
+        return E.first_in_array(F.col(field), lambda e: e.language.getField("name") == F.lit(lang),
+                                lambda e: e.getField(text_field))
+    info = F.coalesce(X.clean_flavor(first("flavor_text_entries", "flavor_text")),
+                      X.clean_effect(first("effect_entries", "effect")))
+    return j.select(*columns, info.alias("info"))
