@@ -62,16 +62,23 @@ def _fixup(v: Column) -> Column:
 
 
 def _step_1b(w: Column) -> Column:
+    """Cut -eed/-ed/-ing; the result says whether the fix-up step applies."""
+    def r(stem, fix):
+        return F.struct(stem.alias("s"), F.lit(fix).alias("f"))
     return (F.when(w.rlike("eed$"),
-                   F.when(_cut(w, 3).rlike(VOWEL_CONSONANT), _cut(w, 1)).otherwise(w))
-            .when(w.rlike("ed$") & _cut(w, 2).rlike(VOWEL), _fixup(_cut(w, 2)))
-            .when(w.rlike("ing$") & _cut(w, 3).rlike(VOWEL), _fixup(_cut(w, 3)))
-            .otherwise(w))
+                   F.when(_cut(w, 3).rlike(VOWEL_CONSONANT), r(_cut(w, 1), False)).otherwise(r(w, False)))
+            .when(w.rlike("ed$") & _cut(w, 2).rlike(VOWEL), r(_cut(w, 2), True))
+            .when(w.rlike("ing$") & _cut(w, 3).rlike(VOWEL), r(_cut(w, 3), True))
+            .otherwise(r(w, False)))
 
 
-def light_stem(w: Column) -> Column:
-    """Light stem of one lowercase token."""
-    return _step_1b(_step_1a(w))
+def light_stems(toks: Column) -> Column:
+    """Light stem of every token of an array. Each step is its own
+    ``transform`` so every rule refers to one lambda variable (the expression
+    stays linear in size instead of nesting whole steps into each other)."""
+    s1 = F.transform(toks, _step_1a)
+    s2 = F.transform(s1, _step_1b)
+    return F.transform(s2, lambda x: F.when(x.getField("f"), _fixup(x.getField("s"))).otherwise(x.getField("s")))
 
 
 def tokens(text: Column) -> Column:
@@ -81,7 +88,8 @@ def tokens(text: Column) -> Column:
 
 
 def _stop_array(stop_words=ENGLISH_STOP_WORDS) -> Column:
-    return F.array(*[F.lit(w) for w in ("", *stop_words)])
+    # one literal split into an array (constant-folded): "" plus the stop words
+    return F.split(F.lit("|" + "|".join(stop_words)), r"\|")
 
 
 def without_stop_words(toks: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -100,7 +108,7 @@ def lexemes(text: Column, kind: str = "exact") -> Column:
     if kind == "exact":
         return distinct_tokens
     if kind == "light":
-        return F.array_distinct(F.transform(distinct_tokens, light_stem))
+        return F.array_distinct(light_stems(distinct_tokens))
     if kind == "porter2":
         from nestrel.functions.porter2 import stem_tokens
         return F.array_distinct(stem_tokens(distinct_tokens))
@@ -113,37 +121,40 @@ def query_terms(query: str) -> list[str]:
 
 
 def query_lexemes(query: str, kind: str = "exact") -> Column:
-    """Lexemes of an OR query; every term normalised exactly like documents."""
+    """Lexemes of an OR query as an expression (every term normalised exactly
+    like documents). Use ``query_lexeme_list`` to fold it to literals."""
     parts = [lexemes(F.lit(t), kind) for t in query_terms(query)]
     return F.array_distinct(F.flatten(F.array(*parts)))
 
 
-def _prefix_filter(text: Column, query: str, kind: str) -> Column | None:
+def query_lexeme_list(query: str, kind: str = "exact") -> list[str]:
+    """The query's lexemes, computed once by Spark with the very expression
+    used for documents (a one-row evaluation). Catalyst does not fold
+    higher-order functions, so without this the query would be re-normalised
+    on every row."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    row = spark.range(1).select(query_lexemes(query, kind).alias("q")).first()
+    return sorted(row["q"] or [])
+
+
+def _literal_array(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
+def _prefix_filter(text: Column, lexes: list[str]) -> Column:
     """A necessary condition for a match, cheap enough to run first.
 
     For ``exact`` and ``light`` every lexeme minus its last character is a
     prefix of the token it came from (suffixes are only cut, then at most one
     ``e`` is appended or one doubled letter dropped), and the token is a
-    substring of the lowercased text. So a document can only match if its
-    lowercased text contains one of those prefixes. ``porter2`` rewrites
-    suffixes, so it gets no pre-filter.
+    substring of the lowercased text. So a text can only match if it contains
+    one of those prefixes: a few ``instr`` calls, inside generated code.
     """
-    if kind not in ("exact", "light"):
-        return None
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return None
-    # normalise the query literal once, with the very same expression
-    lex = spark.range(1).select(query_lexemes(query, kind).alias("q")).first()["q"] or []
-    probes = sorted({w[:-1] if len(w) > 1 else w for w in lex})
-    if not probes:
-        return F.lit(False)
     low = F.lower(text)
-    cond = None
-    for p in probes:
-        c = F.instr(low, p) > 0
-        cond = c if cond is None else (cond | c)
+    cond = F.lit(False)
+    for p in sorted({w[:-1] if len(w) > 1 else w for w in lexes}):
+        cond = cond | (F.instr(low, p) > 0)
     return cond
 
 
@@ -151,10 +162,14 @@ def matches(text: Column, query: str, kind: str = "exact") -> Column:
     """``to_tsquery(query) @@ to_tsvector(text)`` for OR and single-term queries.
 
     NULL text gives NULL (a filter drops it), as in the relational engine.
-    A cheap substring pre-filter runs first; the exact lexeme test only runs
-    on the texts it lets through.
+    The query is normalised once; for ``exact`` / ``light`` a substring
+    pre-filter decides most rows before the lexeme set is built.
     """
-    full = F.arrays_overlap(lexemes(text, kind), query_lexemes(query, kind))
-    pre = _prefix_filter(text, query, kind)
-    test = full if pre is None else F.when(pre, full).otherwise(F.lit(False))
+    lexes = query_lexeme_list(query, kind)
+    if not lexes:
+        test = F.lit(False)
+    else:
+        full = F.arrays_overlap(lexemes(text, kind), _literal_array(lexes))
+        test = F.when(_prefix_filter(text, lexes), full).otherwise(F.lit(False)) \
+            if kind in ("exact", "light") else full
     return F.when(text.isNull(), F.lit(None).cast("boolean")).otherwise(test)
