@@ -60,16 +60,58 @@ def first_with_fallback(df: DataFrame, key: str, order: str, value: str,
     return df.groupBy(key).agg(F.coalesce(*firsts).alias(alias))
 
 
+def _split_numbering(df: DataFrame, key: str, order: Sequence[str], alias: str, fn: str,
+                     buckets: int | None) -> DataFrame:
+    """Per-key ``row_number``/``rank`` that also splits hot keys.
+
+    Rows are cut into ranges at global quantiles of the first order column
+    (``buckets - 1`` literals), so one key's rows spread over up to
+    ``buckets`` tasks. Each (key, range) piece is numbered on its own; the
+    offset of a piece is the number of rows of the same key in earlier
+    ranges, summed over a per-key window of at most ``buckets`` count rows.
+    Rows in earlier ranges have strictly smaller first order values, so
+    ``rank`` = offset + local rank and ``row_number`` = offset + local number.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    first = order[0]
+    cuts = sorted(set(x for x in df.approxQuantile(first, [i / buckets for i in range(1, buckets)], 0.001)
+                      if x is not None))
+    cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
+    # NULL order values sort last (asc_nulls_last): give them the last range
+    b = df.withColumn("__r", F.when(F.col(first).isNull(), F.lit(len(cuts) + 1)).otherwise(
+        F.size(F.filter(cut_arr, lambda c: F.col(first) > c))))
+    counts = b.groupBy(key, "__r").agg(F.count(F.lit(1)).alias("__n"))
+    prior = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "__r", F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"))
+    local = Window.partitionBy(key, "__r").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    num = F.row_number() if fn == "row_number" else F.rank()
+    out = b.withColumn("__l", num.over(local)).join(offsets, [key, "__r"])
+    return out.withColumn(alias, (F.col("__off") + F.col("__l")).cast("bigint")).drop("__r", "__l", "__off")
+
+
 def row_number_per_key(df: DataFrame, key: str, order: Sequence[str],
-                       alias: str = "rn") -> DataFrame:
-    """``row_number() over (partition by key order by ...)`` as BIGINT."""
+                       alias: str = "rn", split_hot_keys: bool = True,
+                       buckets: int | None = None) -> DataFrame:
+    """``row_number() over (partition by key order by ...)`` as BIGINT.
+
+    With ``split_hot_keys`` (default) a key holding a large share of the rows
+    is numbered by several tasks (see ``_split_numbering``); the first order
+    column must be numeric. Otherwise a plain window partitioned by key.
+    """
+    if split_hot_keys:
+        return _split_numbering(df, key, order, alias, "row_number", buckets)
     w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return df.withColumn(alias, F.row_number().over(w).cast("bigint"))
 
 
 def rank_per_key(df: DataFrame, key: str, order: Sequence[str], pred: Column | None = None,
-                 alias: str = "rk") -> DataFrame:
+                 alias: str = "rk", split_hot_keys: bool = True,
+                 buckets: int | None = None) -> DataFrame:
     """``rank() over (partition by key order by ...)`` after an optional filter."""
     src = df if pred is None else df.where(pred)
+    if split_hot_keys:
+        return _split_numbering(src, key, order, alias, "rank", buckets)
     w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return src.withColumn(alias, F.rank().over(w).cast("bigint"))

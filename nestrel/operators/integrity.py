@@ -74,7 +74,7 @@ def domain_violations(df: DataFrame, keys: Sequence[str], rules: dict[str, dict]
 
 
 def assign_ids(batch: DataFrame, order_col: str, start_after: DataFrame | int,
-               id_col: str = "id", buckets: int = 64, rel_error: float = 0.001) -> DataFrame:
+               id_col: str = "id", buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
     """Dense surrogate ids ``max(existing)+1 ..`` numbered in ``order_col`` order.
 
     ``order_col`` must be a unique numeric key of the batch. Instead of one
@@ -88,6 +88,8 @@ def assign_ids(batch: DataFrame, order_col: str, start_after: DataFrame | int,
     else:
         # one scalar through the driver (the current maximum id)
         base = start_after.agg(F.max(F.col(start_after.columns[0]))).first()[0] or 0
+    if buckets is None:   # one range per shuffle partition of the session
+        buckets = max(2, int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(x for x in batch.approxQuantile(order_col, probs, rel_error) if x is not None))
     cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")

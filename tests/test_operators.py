@@ -147,3 +147,17 @@ def test_capacity_guards_boundaries(spark, scratch):
     assert spark.read.parquet(path).count() == 5
     G.truncate_cascade(spark, [(path, existing.schema)])
     assert spark.read.parquet(path).count() == 0
+
+
+def test_per_key_numbering_splits_hot_keys_exactly(spark):
+    rng = random.Random(11)
+    # key 0 holds about a third of the rows; ties in the order column
+    rows = [(0 if rng.random() < 0.34 else rng.randint(1, 40), rng.randint(0, 50), i) for i in range(900)]
+    pdf = pd.DataFrame(rows, columns=["k", "pos", "uid"])
+    df = spark.createDataFrame(pdf)
+    rk = {r.uid: r.rk for r in E.rank_per_key(df, "k", ["pos"], buckets=8).collect()}
+    want_rk = pdf.groupby("k")["pos"].rank(method="min").astype(int)
+    assert rk == dict(zip(pdf.uid, want_rk))
+    rn = E.row_number_per_key(df, "k", ["pos", "uid"], buckets=8).collect()
+    want_rn = pdf.sort_values(["k", "pos", "uid"]).groupby("k").cumcount() + 1
+    assert {r.uid: r.rn for r in rn} == dict(zip(pdf.sort_values(["k", "pos", "uid"]).uid, want_rn))
