@@ -10,7 +10,10 @@ the published algorithm step by step (written from its public description).
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,6 +178,11 @@ def stem(word: str) -> str:
     return w.replace("Y", "y")
 
 
+# Ship this module's code with the UDF (pickled by value), so executors need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _stem_arrays(arrs: pd.Series) -> pd.Series:
     cache: dict[str, str] = {}
