@@ -68,3 +68,14 @@ def search_count(matched: DataFrame, related: DataFrame, key: str, related_key:
 
 def text_filter(text: Column, query: str, kind: str = "exact") -> Column:
     return matches(text, query, kind)
+
+
+def write_index(index: DataFrame, path: str, term_col: str = "term",
+                partitions: int | None = None) -> None:
+    """Persist an index clustered by term: range-partitioned and sorted, so
+    each file and row group covers a narrow term range and a lookup
+    ``term IN (...)`` skips the rest through parquet min/max statistics.
+    (Partitioning directories by term would create one folder per term.)"""
+    n = partitions or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (index.repartitionByRange(n, term_col).sortWithinPartitions(term_col)
+          .write.mode("overwrite").parquet(path))

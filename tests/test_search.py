@@ -54,3 +54,14 @@ def test_index_search_equals_scan_search(spark):
     a = {r.doc_id for r in FTS.search(docs, "text", "ering | swimming", "light").collect()}
     b = {r.doc_id for r in FTS.search_index(idx, docs, "doc_id", "ering | swimming", "light").collect()}
     assert a == b and a
+
+
+def test_persisted_index_lookup_is_pruned(spark, scratch):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").where(F.col("lang") == "en")
+    FTS.write_index(FTS.build_index(docs, "doc_id", "text", "exact"), f"{scratch}/idx", partitions=4)
+    idx = spark.read.parquet(f"{scratch}/idx")
+    hits = FTS.search_index(idx, docs.select("doc_id"), "doc_id", "tion | ther", "exact")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term, [ther,tion])" in plan or "PushedFilters: [In(term, [tion,ther])" in plan
+    scan = {r.doc_id for r in FTS.search(docs, "text", "tion | ther", "exact").collect()}
+    assert {r.doc_id for r in hits.collect()} == scan
