@@ -157,6 +157,32 @@ def outline_docs(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
 
 
+DESCRIBED_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("effect_entries", T.ArrayType(T.StructType([
+        T.StructField("effect", T.StringType()), T.StructField("language", _NAME)]))),
+    T.StructField("flavor_text_entries", T.ArrayType(T.StructType([
+        T.StructField("flavor_text", T.StringType()), T.StructField("language", _NAME)]))),
+])
+
+
+def described_docs(documents: DataFrame) -> DataFrame:
+    """``(id, body)`` described documents: flavour entries are the lines (in
+    the document's language); the single effect entry is the whole text with
+    sentence ends written as blank lines, always tagged ``en`` - the fallback
+    for documents without an English flavour line."""
+    body = F.struct(
+        F.col("doc_id").alias("id"),
+        F.col("source").alias("name"),
+        F.array(F.struct(F.replace(F.col("text"), F.lit(". "), F.lit(".\n\n")).alias("effect"),
+                         F.struct(F.lit("en").alias("name")).alias("language"))).alias("effect_entries"),
+        F.transform(_lines(), lambda l: F.struct(
+            l.alias("flavor_text"), F.struct(F.col("lang").alias("name")).alias("language"))
+        ).alias("flavor_text_entries"))
+    return documents.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
+
+
 # ---------------------------------------------------------------- responses
 def responses(events: DataFrame) -> DataFrame:
     """Landed HTTP responses: an ``error`` event plays a failed (404) fetch."""

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "nestrel",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session tuned for nestrel.
 
     On a cluster the master, memory and ``spark.checkpoint.dir`` come from the
@@ -33,6 +33,7 @@ def get_spark(master: str | None = None, app: str = "nestrel",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -13,7 +13,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from nestrel.session import get_spark
-    s = get_spark("local[4]", "nestrel-tests", shuffle_partitions=8)
+    wh = tempfile.mkdtemp(prefix="nestrel-warehouse-")
+    s = get_spark("local[4]", "nestrel-tests", shuffle_partitions=8,
+                  extra_conf={"spark.sql.warehouse.dir": wh})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -59,3 +59,22 @@ def test_landing_stream_is_idempotent(spark, scratch):
     SL.land_batch(batch0, 0, f"{scratch}/staged", f"{scratch}/quarantine", schema)
     SL.land_batch(batch0, 0, f"{scratch}/staged", f"{scratch}/quarantine", schema)
     assert spark.read.parquet(f"{scratch}/staged/batch_id=0").count() == batch0.where("status = 200").count()
+
+
+def test_staging_tables_dropped_only_when_asked(spark, scratch):
+    from nestrel.sources import landing as L
+    staged = {"entity": docs(spark, POKEMON), "texts": docs(spark, SPECIES), "trees": docs(spark, EVO),
+              "listing": docs(spark, LISTING)}
+    for name in ("js_entity", "js_texts"):
+        L.land(staged["entity"], f"{scratch}/{name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{scratch}/{name}'")
+
+    def fetch(kind, manifest):
+        return spark.createDataFrame([], "id int, body string")
+    etl.run(spark, staged, fetch, f"{scratch}/db1", keep_staging=True, staging_tables=["js_entity", "js_texts"])
+    assert spark.catalog.tableExists("js_entity")
+    etl.run(spark, staged, fetch, f"{scratch}/db2", keep_staging=False, staging_tables=["js_entity", "js_texts"])
+    assert not spark.catalog.tableExists("js_entity") and not spark.catalog.tableExists("js_texts")
+    # a wave-2 fetch that returned nothing leaves every bridge key an orphan
+    report = {r.rule: r.violations for r in etl.check(spark, f"{scratch}/db2").collect()}
+    assert report["fk:pokemon_moves.move_id"] == 2
