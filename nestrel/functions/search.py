@@ -133,7 +133,7 @@ def query_lexeme_list(query: str, kind: str = "exact") -> list[str]:
     higher-order functions, so without this the query would be re-normalised
     on every row."""
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     row = spark.range(1).select(query_lexemes(query, kind).alias("q")).first()
     return sorted(row["q"] or [])
 
