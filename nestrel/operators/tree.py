@@ -67,3 +67,26 @@ def family_by_name(trees: DataFrame, family_col: str, names: Column,
         exploded = exploded.join(wanted.select(name_col).where(F.col(name_col).isNotNull()),
                                  name_col, "left_semi")
     return exploded.groupBy(name_col).agg(F.min("__fam").alias(family_col))
+
+
+def walk(docs: DataFrame, family_col: str = "id", body_col: str = "body", root_path: str = "$.chain",
+         child_key: str = "evolves_to", name_path: str = "$.species.name") -> DataFrame:
+    """Every node of every tree as ``(family, level, parent, name)``, any depth.
+
+    Shape-agnostic: the body is parsed to VARIANT and walked with a recursive
+    CTE, one level per iteration (each iteration is a distributed join of the
+    frontier with its children), so no maximum depth has to be declared and
+    the parent edge - lost by a flat family id - is kept.
+    """
+    spark = docs.sparkSession
+    src = docs.select(F.col(family_col).alias("fam"), F.col(body_col).alias("body"))
+    return spark.sql(f"""
+        WITH RECURSIVE nodes(fam, lvl, parent, node) AS (
+          SELECT fam, 1, CAST(NULL AS STRING), variant_get(parse_json(body), '{root_path}') FROM {{src}}
+          UNION ALL
+          SELECT n.fam, n.lvl + 1, variant_get(n.node, '{name_path}', 'string'), c.value
+          FROM nodes AS n, LATERAL variant_explode(variant_get(n.node, '$.{child_key}')) AS c
+        )
+        SELECT fam AS {family_col}, CAST(lvl AS BIGINT) AS level, parent,
+               variant_get(node, '{name_path}', 'string') AS name
+        FROM nodes WHERE node IS NOT NULL""", src=src)

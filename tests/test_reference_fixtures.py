@@ -150,3 +150,17 @@ def test_pending_keys_and_manifest(spark):
     assert [r.move_id for r in keys] == [5]
     man = L.request_manifest(3, U + "move/", spark=spark).collect()
     assert [r.url for r in man] == [U + "move/1", U + "move/2", U + "move/3"]
+
+
+def test_recursive_walk_any_depth(spark):
+    from nestrel.operators import tree as TR
+    deep = {"id": 13, "chain": {"species": {"name": "r"}, "evolves_to": [{"species": {"name": "a"}, "evolves_to": [
+        {"species": {"name": "b"}, "evolves_to": [{"species": {"name": "c"}, "evolves_to": [
+            {"species": {"name": "d"}, "evolves_to": []}]}]}]}]}}
+    rows = TR.walk(docs(spark, EVO + [deep])).collect()
+    got = sorted((r.id, r.level, r.parent, r.name) for r in rows)
+    assert (2, 2, "wurm", "silc") in got and (2, 2, "wurm", "casc") in got       # branching
+    assert (2, 3, "silc", "beau") in got and (2, 3, "casc", "dust") in got
+    assert [x for x in got if x[0] == 3] == [(3, 1, None, "solo")]                 # depth 1
+    assert max(r.level for r in rows if r.id == 4) == 5                            # deeper than any fixed schema
+    assert max(r.level for r in rows if r.id == 1) == 3
