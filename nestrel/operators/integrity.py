@@ -24,12 +24,11 @@ def unique_violations(df: DataFrame, keys: Sequence[str], primary: bool = False,
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    dup = (df.where(~any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-             .where(F.col(count_col) > 1))
+    # one partially aggregated pass: NULL keys group together like values do
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
     if not primary:
-        return dup
-    nulls = df.where(any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-    return dup.unionByName(nulls)
+        return counted.where(~any_null & (F.col(count_col) > 1))
+    return counted.where(any_null | (F.col(count_col) > 1))
 
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

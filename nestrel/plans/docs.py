@@ -184,9 +184,11 @@ def described_docs(documents: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- responses
-def responses(events: DataFrame) -> DataFrame:
-    """Landed HTTP responses: an ``error`` event plays a failed (404) fetch."""
+def responses(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed HTTP responses: an ``error`` event plays a failed (404) fetch.
+    ``keep`` carries extra event columns along (no join back later)."""
     return events.select(
+        *keep,
         F.col("event_id").alias("id"),
         F.concat(F.lit(API + "user/"), F.col("user_id").cast("string"), F.lit("/")).alias("url"),
         F.when(F.col("event_type") == "error", F.lit(404)).otherwise(F.lit(200)).alias("status"),
