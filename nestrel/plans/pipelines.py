@@ -69,8 +69,8 @@ def build_entity(spark: SparkSession, sf_dir: str, render_arrays: bool = True) -
     tree = source -> lines -> sentences, entries = lines.
     """
     from nestrel.plans import docs as D
-    from nestrel.sources.tables import table
-    documents = table(spark, sf_dir, "documents")
+    from nestrel.sources.tables import table, text_table
+    documents = text_table(spark, sf_dir, "documents")
     out = entity_table(D.text_entity_docs(documents, table(spark, sf_dir, "labels")), D.TEXT_ENTITY_SCHEMA,
                        D.outline_docs(documents), D.OUTLINE_SCHEMA, D.OUTLINE_DEPTH,
                        D.entries_docs(documents), D.ENTRIES_SCHEMA,

@@ -33,6 +33,11 @@ def get_spark(master: str | None = None, app: str = "nestrel",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM, whose default heap
+        # (1 GiB) makes concurrent text tasks spend their time in GC. A
+        # cluster sizes executors in its own submit configuration.
+        conf["spark.driver.memory"] = os.environ.get("NESTREL_DRIVER_MEMORY", "16g")
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -27,3 +27,37 @@ def adhoc_sql(spark: SparkSession, sql: str, columns: Sequence[str] | None = Non
     result positionally (``toDF``) like naming a client frame afterwards."""
     df = spark.sql(sql)
     return df.toDF(*columns) if columns else df
+
+
+def spread(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy per-row work (JSON,
+    regex, tokenising) when the input is laid out in too few files.
+
+    A parquet row group is the unit of a scan split, so a table written as a
+    handful of files / row groups is scanned by a handful of tasks however
+    large each is (measured from the event log: one task of four did all the
+    work on the documents table). With fewer input files than the session's
+    parallelism, rows are hash-partitioned on ``key`` into
+    ``spark.sql.shuffle.partitions`` parts (deterministic on retry, no sort,
+    and a later join or aggregation on ``key`` reuses the partitioning);
+    without a key, round-robin. A table spread over many files - the normal
+    layout at scale - is returned unchanged, so no shuffle is added there.
+    """
+    spark = df.sparkSession
+    try:
+        n_files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - not a file-based relation
+        return df
+    if not 0 < n_files < spark.sparkContext.defaultParallelism:
+        return df
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
+# The key each long-text table is spread on.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``table`` followed by ``spread``: for tables whose rows carry long texts."""
+    return spread(table(spark, sf_dir, name), TEXT_KEYS.get(name))
