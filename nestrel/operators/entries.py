@@ -61,7 +61,7 @@ def first_with_fallback(df: DataFrame, key: str, order: str, value: str,
 
 
 def _split_numbering(df: DataFrame, key: str, order: Sequence[str], alias: str, fn: str,
-                     buckets: int | None) -> DataFrame:
+                     buckets: int | None, nulls_first: bool = False) -> DataFrame:
     """Per-key ``row_number``/``rank`` that also splits hot keys.
 
     Rows are cut into ranges at global quantiles of the first order column
@@ -79,13 +79,15 @@ def _split_numbering(df: DataFrame, key: str, order: Sequence[str], alias: str,
     cuts = sorted(set(x for x in df.approxQuantile(first, [i / buckets for i in range(1, buckets)], 0.001)
                       if x is not None))
     cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    # NULL order values sort last (asc_nulls_last): give them the last range
-    b = df.withColumn("__r", F.when(F.col(first).isNull(), F.lit(len(cuts) + 1)).otherwise(
+    # NULL order values get their own range, after (or before) all others
+    null_range = F.lit(-1) if nulls_first else F.lit(len(cuts) + 1)
+    b = df.withColumn("__r", F.when(F.col(first).isNull(), null_range).otherwise(
         F.size(F.filter(cut_arr, lambda c: F.col(first) > c))))
     counts = b.groupBy(key, "__r").agg(F.count(F.lit(1)).alias("__n"))
     prior = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(key, "__r", F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"))
-    local = Window.partitionBy(key, "__r").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    local = Window.partitionBy(key, "__r").orderBy(
+        *[(F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()) for c in order])
     num = F.row_number() if fn == "row_number" else F.rank()
     out = b.withColumn("__l", num.over(local)).join(offsets, [key, "__r"])
     return out.withColumn(alias, (F.col("__off") + F.col("__l")).cast("bigint")).drop("__r", "__l", "__off")

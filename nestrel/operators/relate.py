@@ -10,8 +10,9 @@ Scale notes
   window: rank = 1 + number of rows with a smaller value, read off the
   histogram of distinct values. For counts the histogram is provably small:
   k distinct positive counts need at least k(k+1)/2 underlying rows, so
-  N rows give at most sqrt(2N) distinct counts (1.4M for 10^12 rows). That
-  bound is what lets the histogram be broadcast.
+  N rows give at most sqrt(2N) distinct counts (1.4M for 10^12 rows), so its
+  window and join stay small. For values without such a bound,
+  ``method="ranges"`` ranks inside quantile ranges instead.
 """
 
 from __future__ import annotations
@@ -68,21 +69,41 @@ def left_join_count(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
 
 def rank_by_value(df: DataFrame, value_col: str, rank_col: str = "rk",
-                  descending: bool = False) -> DataFrame:
-    """Global ``rank() over (order by value)`` with no single-partition window.
-
-    Exact, ties share a rank and leave gaps, NULL values rank last (ascending)
-    as in the relational engine. Meant for low-cardinality values such as
-    counts (see module doc for the bound that makes the histogram small).
+                  descending: bool = False, method: str = "histogram",
+                  buckets: int | None = None) -> DataFrame:
+    """Global ``rank() over (order by value)`` with no single-partition window
+    over the data. Exact: ties share a rank and leave gaps; NULL values rank
+    last ascending (first descending), as in the relational engine.
+
+    ``method="histogram"`` (for counts and other low-cardinality values):
+    rank = 1 + rows with a smaller value, read off the histogram of distinct
+    values; the window runs over the histogram only, whose size is bounded by
+    sqrt(2N) for counts (see module doc). Spark decides from the measured
+    size whether the histogram is broadcast.
+
+    ``method="ranges"`` (any numeric value): rows are cut at approximate
+    quantiles into ``buckets`` ranges, ranked inside their range, and offset
+    by the number of rows in earlier ranges (one count row per range).
     """
+    if method == "ranges":
+        from nestrel.operators.entries import _split_numbering
+        v = F.col(value_col)
+        key = df.withColumn("__all", F.lit(0))
+        order_col = value_col
+        if descending:
+            key = key.withColumn("__neg", -v)
+            order_col = "__neg"
+        out = _split_numbering(key, "__all", [order_col], rank_col, "rank", buckets,
+                               nulls_first=descending)
+        return out.drop("__all", "__neg")
     v = F.col(value_col)
     hist = df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     order = F.col("__v").desc_nulls_first() if descending else F.col("__v").asc_nulls_last()
-    # Window over the histogram only (one row per distinct value).
+    # window over the histogram only (one row per distinct value)
     w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranks = hist.select("__v", (F.coalesce(F.sum("__c").over(w), F.lit(0)) + 1)
                         .cast("bigint").alias(rank_col))
-    return df.join(F.broadcast(ranks), v.eqNullSafe(F.col("__v")), "inner").drop("__v")
+    return df.join(ranks, v.eqNullSafe(F.col("__v")), "inner").drop("__v")
 
 
 def rank_at_most(df: DataFrame, value_col: str, k: int, rank_col: str = "rk") -> DataFrame:

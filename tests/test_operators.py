@@ -161,3 +161,25 @@ def test_per_key_numbering_splits_hot_keys_exactly(spark):
     rn = E.row_number_per_key(df, "k", ["pos", "uid"], buckets=8).collect()
     want_rn = pdf.sort_values(["k", "pos", "uid"]).groupby("k").cumcount() + 1
     assert {r.uid: r.rn for r in rn} == dict(zip(pdf.sort_values(["k", "pos", "uid"]).uid, want_rn))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(min_value=-50, max_value=50, allow_nan=False)), min_size=1, max_size=80),
+       st.booleans())
+def test_rank_by_ranges_equals_rank(spark, values, desc):
+    pdf = pd.DataFrame({"id": range(len(values)), "v": values})
+    df = spark.createDataFrame(pdf, "id long, v double")
+    got = {r.id: r.rk for r in R.rank_by_value(df, "v", "rk", descending=desc, method="ranges", buckets=5).collect()}
+    hist = {r.id: r.rk for r in R.rank_by_value(df, "v", "rk", descending=desc).collect()}
+    want = pdf.set_index("id")["v"].rank(method="min", ascending=not desc, na_option="bottom" if not desc else "top")
+    assert got == hist == want.astype(int).to_dict()
+
+
+def test_rank_nulls_follow_relational_order(spark):
+    rows = [(0, None), (1, 3.0), (2, 1.0), (3, None), (4, 3.0)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    for method in ("histogram", "ranges"):
+        asc = {r.id: r.rk for r in R.rank_by_value(df, "v", method=method, buckets=3).collect()}
+        desc = {r.id: r.rk for r in R.rank_by_value(df, "v", descending=True, method=method, buckets=3).collect()}
+        assert asc == {2: 1, 1: 2, 4: 2, 0: 4, 3: 4}, method      # NULLS LAST ascending
+        assert desc == {0: 1, 3: 1, 1: 3, 4: 3, 2: 5}, method     # NULLS FIRST descending
