@@ -37,7 +37,8 @@ def spread(df: DataFrame, key: str | None = None, partitions: int | None = None)
     handful of files / row groups is scanned by a handful of tasks however
     large each is (measured from the event log: one task of four did all the
     work on the documents table). With fewer input files than the session's
-    parallelism, rows are hash-partitioned on ``key`` into
+    parallelism, each no larger than one split (``maxPartitionBytes``), rows
+    are hash-partitioned on ``key`` into
     ``spark.sql.shuffle.partitions`` parts (deterministic on retry, no sort,
     and a later join or aggregation on ``key`` reuses the partitioning);
     without a key, round-robin. A table spread over many files - the normal
@@ -45,15 +46,38 @@ def spread(df: DataFrame, key: str | None = None, partitions: int | None = None)
     """
     spark = df.sparkSession
     try:
-        n_files = len(df.inputFiles())
+        files = df.inputFiles()
     except Exception:  # noqa: BLE001 - not a file-based relation
         return df
-    if not 0 < n_files < spark.sparkContext.defaultParallelism:
+    if not 0 < len(files) < spark.sparkContext.defaultParallelism:
+        return df
+    # Few files. Spread only if they are small, i.e. about one split each;
+    # big files are assumed to hold several row groups and scan in parallel.
+    if _mean_file_bytes(spark, files) > _max_split_bytes(spark):
         return df
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, key) if key else df.repartition(n)
 
 
+def _max_split_bytes(spark: SparkSession) -> int:
+    v = spark.conf.get("spark.sql.files.maxPartitionBytes", "128MB")
+    units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+    v = v.strip().lower().rstrip("b") or "0"
+    return int(float(v[:-1]) * units[v[-1]]) if v[-1] in units else int(v)
+
+
+def _mean_file_bytes(spark: SparkSession, files: list[str]) -> float:
+    """Mean size of the input files, from the Hadoop FileSystem the session
+    uses (works for any file system URI the scan itself reads)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total / len(files)
+
+
 # The key each long-text table is spread on.
 TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 

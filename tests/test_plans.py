@@ -42,3 +42,15 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(C.QUERIES["top_k"](spark, SF_SMALL))
+
+
+def test_spread_only_for_few_small_files(spark, scratch):
+    from nestrel.sources.tables import spread
+    one = spark.range(1000).coalesce(1)
+    one.write.parquet(f"{scratch}/one")
+    df = spark.read.parquet(f"{scratch}/one")
+    assert "Exchange hashpartitioning(id" in plan(spread(df, "id"))
+    many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism + 2)
+    many.write.parquet(f"{scratch}/many")
+    df2 = spark.read.parquet(f"{scratch}/many")
+    assert spread(df2, "id") is df2
