@@ -36,6 +36,15 @@ def test_full_rebuild_two_waves(spark, scratch):
     ab = spark.read.parquet(f"{scratch}/db/abilities").first()
     assert ab.info == "Boost grass moves."
     assert spark.read.parquet(f"{scratch}/db/pokedex").count() == 3
+    # every target table exists with its declared columns
+    cols = {n: spark.read.parquet(f"{scratch}/db/{n}").columns for n in etl.KEYS}
+    assert cols["pokedex"] == ["id", "name", "height", "weight", "hp", "attack", "defense", "s_attack",
+                               "s_defense", "speed", "type", "evo_set", "info"]
+    assert cols["types"] == ["id", "name"]
+    assert cols["moves"] == ["id", "name", "pp", "damage", "accuracy", "type", "info"]
+    assert cols["abilities"] == ["id", "name", "info"]
+    assert cols["pokemon_moves"] == ["poke_id", "move_id"]
+    assert cols["pokemon_abilities"] == ["poke_id", "ability_id"]
 
 
 def test_landing_stream_is_idempotent(spark, scratch):
