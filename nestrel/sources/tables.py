@@ -29,7 +29,8 @@ def adhoc_sql(spark: SparkSession, sql: str, columns: Sequence[str] | None = Non
     return df.toDF(*columns) if columns else df
 
 
-def spread(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None, partitions: int | None = None,
+           bytes_per_task: int = 1 << 20) -> DataFrame:
     """Spread rows over the cluster before CPU-heavy per-row work (JSON,
     regex, tokenising) when the input is laid out in too few files.
 
@@ -38,10 +39,9 @@ def spread(df: DataFrame, key: str | None = None, partitions: int | None = None)
     large each is (measured from the event log: one task of four did all the
     work on the documents table). With fewer input files than the session's
     parallelism, each no larger than one split (``maxPartitionBytes``), rows
-    are hash-partitioned on ``key`` into
-    ``spark.sql.shuffle.partitions`` parts (deterministic on retry, no sort,
-    and a later join or aggregation on ``key`` reuses the partitioning);
-    without a key, round-robin. A table spread over many files - the normal
+    are hash-partitioned on ``key`` (deterministic on retry, no sort) into
+    one part per ``bytes_per_task`` of input, at most one per core; without
+    a key, round-robin. A table spread over many files - the normal
     layout at scale - is returned unchanged, so no shuffle is added there.
     """
     spark = df.sparkSession
@@ -53,9 +53,14 @@ def spread(df: DataFrame, key: str | None = None, partitions: int | None = None)
         return df
     # Few files. Spread only if they are small, i.e. about one split each;
     # big files are assumed to hold several row groups and scan in parallel.
-    if _mean_file_bytes(spark, files) > _max_split_bytes(spark):
+    mean = _mean_file_bytes(spark, files)
+    if mean > _max_split_bytes(spark):
+        return df
+    # one task per ~bytes_per_task of (compressed) input, at most one per core
+    n = partitions or min(spark.sparkContext.defaultParallelism,
+                          -(-int(mean * len(files)) // bytes_per_task))
+    if n <= len(files):
         return df
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, key) if key else df.repartition(n)
 
 

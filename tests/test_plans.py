@@ -49,7 +49,8 @@ def test_spread_only_for_few_small_files(spark, scratch):
     one = spark.range(1000).coalesce(1)
     one.write.parquet(f"{scratch}/one")
     df = spark.read.parquet(f"{scratch}/one")
-    assert "Exchange hashpartitioning(id" in plan(spread(df, "id"))
+    assert spread(df, "id") is df                      # under 1 MB: one task is enough
+    assert "Exchange hashpartitioning(id" in plan(spread(df, "id", bytes_per_task=1024))
     many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism + 2)
     many.write.parquet(f"{scratch}/many")
     df2 = spark.read.parquet(f"{scratch}/many")
