@@ -54,6 +54,8 @@ def test_landing_stream_is_idempotent(spark, scratch):
                      F.col("props").alias("body"))
     src = f"{scratch}/responses"
     resp.repartition(4).write.parquet(src)
+    # one more file: a 200 response whose body is not JSON
+    spark.createDataFrame([(10**9, U, 200, '{"k": ')], resp.schema).write.mode("append").parquet(src)
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     q = SL.start(spark, src, f"{scratch}/staged", f"{scratch}/quarantine", f"{scratch}/ckpt",
@@ -62,7 +64,8 @@ def test_landing_stream_is_idempotent(spark, scratch):
     staged = spark.read.parquet(f"{scratch}/staged")
     quarantined = spark.read.parquet(f"{scratch}/quarantine")
     assert staged.count() == resp.where("status = 200").count()
-    assert quarantined.count() == resp.where("status <> 200").count()
+    assert quarantined.count() == resp.where("status <> 200").count() + 1
+    assert quarantined.where(f"id = {10**9}").count() == 1
     # replaying a batch rewrites only its own folder
     batch0 = spark.read.parquet(src).limit(10)
     SL.land_batch(batch0, 0, f"{scratch}/staged", f"{scratch}/quarantine", schema)
