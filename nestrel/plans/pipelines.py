@@ -61,7 +61,8 @@ def entity_table(entity_docs: DataFrame, entity_schema: T.StructType,
     return out.select("id", "name", "height", "weight", *STAT_NAMES, "type", "evo_set", "info")
 
 
-def build_entity(spark: SparkSession, sf_dir: str, render_arrays: bool = True) -> DataFrame:
+def build_entity(spark: SparkSession, sf_dir: str, render_arrays: bool = True,
+                 documents: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """The entity pipeline on documents derived from the driver tables.
 
     The three staged sources are derived per document row (``plans.docs``):
@@ -70,8 +71,11 @@ def build_entity(spark: SparkSession, sf_dir: str, render_arrays: bool = True) -
     """
     from nestrel.plans import docs as D
     from nestrel.sources.tables import table, text_table
-    documents = text_table(spark, sf_dir, "documents")
-    out = entity_table(D.text_entity_docs(documents, table(spark, sf_dir, "labels")), D.TEXT_ENTITY_SCHEMA,
+    if documents is None:
+        documents = text_table(spark, sf_dir, "documents")
+    if labels is None:
+        labels = table(spark, sf_dir, "labels")
+    out = entity_table(D.text_entity_docs(documents, labels), D.TEXT_ENTITY_SCHEMA,
                        D.outline_docs(documents), D.OUTLINE_SCHEMA, D.OUTLINE_DEPTH,
                        D.entries_docs(documents), D.ENTRIES_SCHEMA,
                        height="n_chars", weight="quality")
