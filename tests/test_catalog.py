@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from nestrel.sources.tables import TABLES
 from tests.conftest import SF_SMALL
-from tools.check_oracle import digest
+from tools.check_oracle import digest, duck_types, spark_types
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
@@ -32,6 +32,7 @@ def test_query_matches_oracle(spark, con, key):
     res = con.sql(ORACLE[key])
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(res.columns)
+    assert spark_types(df) == duck_types(res)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(res.columns, drows)[0]
 
