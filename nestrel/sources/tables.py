@@ -49,15 +49,22 @@ def spread(df: DataFrame, key: str | None = None, partitions: int | None = None,
         files = df.inputFiles()
     except Exception:  # noqa: BLE001 - not a file-based relation
         return df
-    if not 0 < len(files) < spark.sparkContext.defaultParallelism:
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        return df
+    if not 0 < len(files) < parallelism:
         return df
     # Few files. Spread only if they are small, i.e. about one split each;
     # big files are assumed to hold several row groups and scan in parallel.
-    mean = _mean_file_bytes(spark, files)
+    try:
+        mean = _mean_file_bytes(spark, files)
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. Spark Connect)
+        return df
     if mean > _max_split_bytes(spark):
         return df
     # one task per ~bytes_per_task of (compressed) input, at most one per core
-    n = partitions or min(spark.sparkContext.defaultParallelism,
+    n = partitions or min(parallelism,
                           -(-int(mean * len(files)) // bytes_per_task))
     if n <= len(files):
         return df
