@@ -65,3 +65,22 @@ def test_persisted_index_lookup_is_pruned(spark, scratch):
     assert "PushedFilters: [In(term, [ther,tion])" in plan or "PushedFilters: [In(term, [tion,ther])" in plan
     scan = {r.doc_id for r in FTS.search(docs, "text", "tion | ther", "exact").collect()}
     assert {r.doc_id for r in hits.collect()} == scan
+
+
+def test_light_stemmer_spark_and_sql_agree(spark):
+    import random
+
+    import duckdb
+
+    from nestrel.plans.catalog import _LIGHT, _tok_sql
+    rng = random.Random(5)
+    stems = ["hop", "swim", "agr", "feed", "plaster", "cr", "th", "conflat", "siz", "troubl", "fizz",
+             "hiss", "ca", "pon", "bl", "x", "tann", "motor", "y", "fall"]
+    suffixes = ["", "s", "es", "ies", "sses", "ss", "ed", "eed", "ing", "ings", "eds", "at", "ated", "bling",
+                "izing", "ting", "ping", "lling", "ssing"]
+    words = sorted({rng.choice(stems) + rng.choice(suffixes) for _ in range(400)})
+    text = " ".join(words)
+    got = set(spark.createDataFrame([(text,)], "text string").select(S.lexemes(F.col("text"), "light")).first()[0])
+    con = duckdb.connect()
+    row = con.execute(f"SELECT list_distinct({_tok_sql(_LIGHT)}) FROM (SELECT ? AS text)", [text]).fetchone()
+    assert got == set(row[0])
