@@ -58,8 +58,9 @@ def canonical(a: Column) -> Column:
 
 
 def cardinality(a: Column) -> Column:
-    """Number of elements as BIGINT; NULL for a NULL array."""
-    return F.size(a).cast("bigint")
+    """Number of elements as BIGINT; NULL for a NULL array (also when a
+    session runs with ANSI mode off, where ``size(NULL)`` is -1)."""
+    return F.when(a.isNotNull(), F.size(a)).cast("bigint")
 
 
 def words(text: Column, sep: str = " ") -> Column:
