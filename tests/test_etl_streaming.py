@@ -90,3 +90,36 @@ def test_staging_tables_dropped_only_when_asked(spark, scratch):
     # a wave-2 fetch that returned nothing leaves every bridge key an orphan
     report = {r.rule: r.violations for r in etl.check(spark, f"{scratch}/db2").collect()}
     assert report["fk:pokemon_moves.move_id"] == 2
+
+
+def test_readme_usage_flow(spark, scratch):
+    """The calls shown in the README's usage section, on the fixtures."""
+    from pyspark.sql import functions as F
+
+    from nestrel.functions import arrays as A
+    from nestrel.operators import relate as R
+    from nestrel.operators import search as FTS
+    from nestrel.operators import tree as TR
+    from nestrel.plans import user_tables
+    staged = {"entity": docs(spark, POKEMON), "texts": docs(spark, SPECIES), "trees": docs(spark, EVO),
+              "listing": docs(spark, LISTING)}
+    store = {"move": {m["id"]: json.dumps(m) for m in MOVES}, "ability": {65: json.dumps(ABILITY)}}
+
+    def fetch(kind, manifest):
+        ids = [r.id for r in manifest.collect()]
+        return spark.createDataFrame([(i, store[kind][i]) for i in ids if i in store[kind]], "id int, body string")
+    db = f"{scratch}/db"
+    etl.run(spark, staged, fetch, db)
+    dex = spark.read.parquet(f"{db}/pokedex")
+    pm = spark.read.parquet(f"{db}/pokemon_moves")
+    hist = {r.type: r.ct for r in R.array_histogram(dex, "type", "type", "ct").collect()}
+    assert hist == {"grass": 1, "poison": 1, "water": 2, "rock": 1}
+    assert dex.where(A.contains_all(F.col("type"), ["water"])).count() == 2
+    assert dex.where(A.set_equal(F.col("type"), ["water", "rock"])).count() == 1
+    counts = R.left_join_count(dex, pm, "id", "poke_id", ["id", "name"], "ct")
+    assert {r.id: r.rk for r in R.rank_at_most(counts, "ct", 6).collect()} == {2: 1, 3: 1, 1: 3}
+    abilities = spark.read.parquet(f"{db}/abilities")
+    assert FTS.search(abilities, "info", "grasses", kind="porter2").count() == 1
+    assert TR.walk(docs(spark, EVO)).count() == 9
+    user_tables.create(spark, f"{db}/user")
+    assert user_tables.insert_roster(spark, f"{db}/user", [(65, 39)], max_rows=6)
