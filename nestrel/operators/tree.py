@@ -48,7 +48,8 @@ def all_names(root: Column, depth: int, child_key: str = "evolves_to",
 
 
 def family_by_name(trees: DataFrame, family_col: str, names: Column,
-                   name_col: str = "name", wanted: DataFrame | None = None) -> DataFrame:
+                   name_col: str = "name", wanted: DataFrame | None = None,
+                   aggregate_first: bool = True) -> DataFrame:
     """``(name, family)`` with one row per name: the smallest family id whose
     tree contains the name.
 
@@ -56,37 +57,19 @@ def family_by_name(trees: DataFrame, family_col: str, names: Column,
     the explicit dedup makes the lookup one-to-one. ``min`` aggregates
     partially, so a name shared by a third of the trees is cheap.
 
-    ``wanted`` (a DataFrame with ``name_col``) restricts the lookup to names
-    that can be joined at all; the semi join runs before the aggregation, so
-    tree names nobody asks for are dropped before the shuffle. AQE turns it
-    into a broadcast semi join when the measured name set is small.
+    ``wanted`` (a DataFrame with ``name_col``) restricts the result to names
+    that can be joined at all. By default the aggregation runs first: its
+    partial ``min`` collapses a name held by a third of the trees map-side,
+    and the semi join then sees one row per name on both sides (no skew).
+    ``aggregate_first=False`` semi-joins first, which ships fewer names when
+    most tree names are unwanted, but a hot name then reaches one task.
     """
     exploded = (trees.select(F.col(family_col).alias("__fam"), F.explode(names).alias(name_col))
                      .where(F.col(name_col).isNotNull()))
-    if wanted is not None:
+    if wanted is not None and not aggregate_first:
         exploded = exploded.join(wanted.select(name_col).where(F.col(name_col).isNotNull()),
                                  name_col, "left_semi")
-    return exploded.groupBy(name_col).agg(F.min("__fam").alias(family_col))
-
-
-def walk(docs: DataFrame, family_col: str = "id", body_col: str = "body", root_path: str = "$.chain",
-         child_key: str = "evolves_to", name_path: str = "$.species.name") -> DataFrame:
-    """Every node of every tree as ``(family, level, parent, name)``, any depth.
-
-    Shape-agnostic: the body is parsed to VARIANT and walked with a recursive
-    CTE, one level per iteration (each iteration is a distributed join of the
-    frontier with its children), so no maximum depth has to be declared and
-    the parent edge - lost by a flat family id - is kept.
-    """
-    spark = docs.sparkSession
-    src = docs.select(F.col(family_col).alias("fam"), F.col(body_col).alias("body"))
-    return spark.sql(f"""
-        WITH RECURSIVE nodes(fam, lvl, parent, node) AS (
-          SELECT fam, 1, CAST(NULL AS STRING), variant_get(parse_json(body), '{root_path}') FROM {{src}}
-          UNION ALL
-          SELECT n.fam, n.lvl + 1, variant_get(n.node, '{name_path}', 'string'), c.value
-          FROM nodes AS n, LATERAL variant_explode(variant_get(n.node, '$.{child_key}')) AS c
-        )
-        SELECT fam AS {family_col}, CAST(lvl AS BIGINT) AS level, parent,
-               variant_get(node, '{name_path}', 'string') AS name
-        FROM nodes WHERE node IS NOT NULL""", src=src)
+    fam = exploded.groupBy(name_col).agg(F.min("__fam").alias(family_col))
+    if wanted is not None and aggregate_first:
+        fam = fam.join(wanted.select(name_col).distinct(), name_col, "left_semi")
+    return fam
