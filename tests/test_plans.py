@@ -55,3 +55,15 @@ def test_spread_only_for_few_small_files(spark, scratch):
     many.write.parquet(f"{scratch}/many")
     df2 = spark.read.parquet(f"{scratch}/many")
     assert spread(df2, "id") is df2
+
+
+def test_hot_key_operators_pre_aggregate_before_shuffling(spark):
+    # every per-key state is reduced map-side (a partial aggregate below the
+    # exchange), so a key holding a third of the rows costs one row per task
+    for k in ("first_entry", "first_entry_enrich", "coalesce_enrich", "left_join_count_rows",
+              "family_lookup", "capacity_check", "unique_violations", "array_histogram",
+              "strict_set_hist", "count_distinct", "bridge_distinct"):
+        p = plan(C.QUERIES[k](spark, SF_SMALL))
+        below_exchange = p.split("Exchange hashpartitioning", 1)[-1]
+        # a partial aggregate function, or a key-only (distinct) pre-aggregation
+        assert "partial_" in p or "Aggregate(keys=" in below_exchange, k
