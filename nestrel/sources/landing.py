@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def request_manifest(ids: DataFrame | int, base_url: str, id_col: str = "id",
+def request_manifest(ids: DataFrame | int | None, base_url: str, id_col: str = "id",
                      spark: SparkSession | None = None) -> DataFrame:
     """``(id, url)`` for every id: an int n gives ids 1..n (``spark.range``);
-    a DataFrame gives its ``id_col`` values."""
+    a DataFrame gives its ``id_col`` values; ``None`` asks for the base URL
+    itself (a listing page) under id 1."""
+    if ids is None:
+        return spark.range(1, 2).select(F.col("id").alias(id_col), F.lit(base_url).alias("url"))
     if isinstance(ids, int):
         df = spark.range(1, ids + 1).select(F.col("id").alias(id_col))
     else:

@@ -150,6 +150,8 @@ def test_pending_keys_and_manifest(spark):
     assert [r.move_id for r in keys] == [5]
     man = L.request_manifest(3, U + "move/", spark=spark).collect()
     assert [r.url for r in man] == [U + "move/1", U + "move/2", U + "move/3"]
+    listing = L.request_manifest(None, U + "type/", spark=spark).collect()
+    assert [(r.id, r.url) for r in listing] == [(1, U + "type/")]
 
 
 def test_recursive_walk_any_depth(spark):
