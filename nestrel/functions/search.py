@@ -93,7 +93,8 @@ def _stop_array(stop_words=ENGLISH_STOP_WORDS) -> Column:
 
 
 def without_stop_words(toks: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    """Distinct tokens that are not stop words (one hash-based expression)."""
+    """Distinct tokens that are neither empty nor stop words (one hash-based
+    ``array_except``)."""
     return F.array_except(toks, _stop_array(stop_words))
 
 
@@ -104,7 +105,7 @@ def lexemes(text: Column, kind: str = "exact") -> Column:
     one built-in expression, so stemming runs once per distinct token of a
     document, not once per occurrence.
     """
-    distinct_tokens = F.array_except(F.split(F.lower(text), TOKEN_SPLIT), _stop_array())
+    distinct_tokens = without_stop_words(F.split(F.lower(text), TOKEN_SPLIT))
     if kind == "exact":
         return distinct_tokens
     if kind == "light":

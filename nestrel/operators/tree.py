@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestrel.functions.jsonpath import field
+from nestrel.functions.jsonpath import concat_arrays, field
 
 
 def node_schema(depth: int, child_key: str = "evolves_to",
@@ -43,8 +43,9 @@ def level(root: Column, d: int, child_key: str = "evolves_to",
 
 def all_names(root: Column, depth: int, child_key: str = "evolves_to",
               name_path: str = "species.name") -> Column:
-    """Names of every level concatenated (root first), as ``a || b || c``."""
-    return F.concat(*[level(root, d, child_key, name_path) for d in range(1, depth + 1)])
+    """Names of every level concatenated (root first), as ``a || b || c``
+    (a missing level counts as empty, never NULL-ing the result)."""
+    return concat_arrays(*[level(root, d, child_key, name_path) for d in range(1, depth + 1)])
 
 
 def family_by_name(trees: DataFrame, family_col: str, names: Column,

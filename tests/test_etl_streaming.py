@@ -66,6 +66,7 @@ def test_landing_stream_is_idempotent(spark, scratch):
     assert staged.count() == resp.where("status = 200").count()
     assert quarantined.count() == resp.where("status <> 200").count() + 1
     assert quarantined.where(f"id = {10**9}").count() == 1
+    assert SL.staged_counts(spark, f"{scratch}/staged").agg(F.sum("docs")).first()[0] == staged.count()
     # replaying a batch rewrites only its own folder
     batch0 = spark.read.parquet(src).limit(10)
     SL.land_batch(batch0, 0, f"{scratch}/staged", f"{scratch}/quarantine", schema)

@@ -183,3 +183,8 @@ def test_rank_nulls_follow_relational_order(spark):
         desc = {r.id: r.rk for r in R.rank_by_value(df, "v", descending=True, method=method, buckets=3).collect()}
         assert asc == {2: 1, 1: 2, 4: 2, 0: 4, 3: 4}, method      # NULLS LAST ascending
         assert desc == {0: 1, 3: 1, 1: 3, 4: 3, 2: 5}, method     # NULLS FIRST descending
+
+
+def test_distinct_sorted(spark):
+    df = spark.createDataFrame([(3,), (1,), (None,), (3,), (2,)], "k int")
+    assert [r.k for r in R.distinct_sorted(df, "k").collect()] == [1, 2, 3]
