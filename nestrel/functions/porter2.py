@@ -200,6 +200,21 @@ def _stem_arrays(arrs: pd.Series) -> pd.Series:
     return arrs.map(one)
 
 
+@F.pandas_udf(T.StringType())
+def _stem_strings(tokens: pd.Series) -> pd.Series:
+    uniq = tokens.dropna().unique()
+    return tokens.map(dict(zip(uniq, map(stem, uniq))))
+
+
 def stem_tokens(tokens: Column) -> Column:
-    """Stem every token of an array column (Arrow-batched, per-batch cache)."""
+    """Stem every token of an array column (Arrow-batched, per-batch cache).
+    One row carries a whole document's tokens, so batch memory follows the
+    document sizes; for index building prefer ``stem_token``."""
     return _stem_arrays(tokens)
+
+
+def stem_token(token: Column) -> Column:
+    """Stem a string column; an Arrow batch holds at most
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` tokens, whatever the
+    document sizes, and each distinct token of a batch is stemmed once."""
+    return _stem_strings(token)

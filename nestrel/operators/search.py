@@ -23,7 +23,21 @@ from nestrel.functions.search import lexemes, matches, query_lexeme_list
 
 def build_index(df: DataFrame, id_col: str, text_col: str, kind: str = "exact",
                 term_col: str = "term") -> DataFrame:
-    """``(term, id)`` rows: the relational form of an inverted text index."""
+    """``(term, id)`` rows: the relational form of an inverted text index.
+
+    ``exact`` / ``light``: lexeme sets are computed in-row, so the index needs
+    no shuffle. ``porter2``: each document's distinct tokens are exploded
+    first and stemmed as a flat string column (Arrow batches of bounded size
+    however long the documents are); tokens of one document that share a
+    stem are then de-duplicated by a partially aggregated shuffle.
+    """
+    if kind == "porter2":
+        from nestrel.functions.porter2 import stem_token
+        from nestrel.functions.search import TOKEN_SPLIT, without_stop_words
+        toks = df.select(id_col, F.explode(without_stop_words(
+            F.split(F.lower(F.col(text_col)), TOKEN_SPLIT))).alias("__tok"))
+        return (toks.select(stem_token(F.col("__tok")).alias(term_col), id_col)
+                    .dropDuplicates([term_col, id_col]))
     return df.select(F.explode(lexemes(F.col(text_col), kind)).alias(term_col), id_col)
 
 

@@ -84,3 +84,11 @@ def test_light_stemmer_spark_and_sql_agree(spark):
     con = duckdb.connect()
     row = con.execute(f"SELECT list_distinct({_tok_sql(_LIGHT)}) FROM (SELECT ? AS text)", [text]).fetchone()
     assert got == set(row[0])
+
+
+def test_porter2_index_forms_agree(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").where(F.col("lang") == "en").limit(200)
+    flat = {(r.term, r.doc_id) for r in FTS.build_index(docs, "doc_id", "text", "porter2").collect()}
+    inrow = {(t, r.doc_id) for r in docs.select("doc_id", S.lexemes(F.col("text"), "porter2").alias("l")).collect()
+             for t in r.l}
+    assert flat == inrow and flat
