@@ -47,8 +47,17 @@ def build_array_index(df: DataFrame, id_col: str, array_col: str,
     return df.select(F.explode(F.array_distinct(array_col)).alias(elem_col), id_col)
 
 
-def search(df: DataFrame, text_col: str, query: str, kind: str = "exact") -> DataFrame:
-    """Rows whose text matches an OR / single-term query."""
+def search(df: DataFrame, text_col: str, query: str, kind: str = "exact",
+           id_col: str | None = None) -> DataFrame:
+    """Rows whose text matches an OR / single-term query.
+
+    With ``kind="porter2"`` and an ``id_col``, matching goes through the
+    exploded-token index (bounded Arrow batches for any document size)
+    instead of the per-document lexeme arrays.
+    """
+    if kind == "porter2" and id_col is not None:
+        idx = build_index(df.select(id_col, text_col), id_col, text_col, kind)
+        return search_index(idx, df, id_col, query, kind)
     return df.where(matches(F.col(text_col), query, kind))
 
 

@@ -92,3 +92,11 @@ def test_porter2_index_forms_agree(spark):
     inrow = {(t, r.doc_id) for r in docs.select("doc_id", S.lexemes(F.col("text"), "porter2").alias("l")).collect()
              for t in r.l}
     assert flat == inrow and flat
+
+
+def test_porter2_search_paths_agree(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").where(F.col("lang") == "en")
+    q = "ering | disgusting | things"
+    a = {r.doc_id for r in FTS.search(docs, "text", q, "porter2").collect()}
+    b = {r.doc_id for r in FTS.search(docs, "text", q, "porter2", id_col="doc_id").collect()}
+    assert a == b and a
