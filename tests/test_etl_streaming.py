@@ -121,6 +121,7 @@ def test_readme_usage_flow(spark, scratch):
     assert {r.id: r.rk for r in R.rank_at_most(counts, "ct", 6).collect()} == {2: 1, 3: 1, 1: 3}
     abilities = spark.read.parquet(f"{db}/abilities")
     assert FTS.search(abilities, "info", "grasses", kind="porter2").count() == 1
+    assert FTS.search(abilities, "info", "grasses", kind="porter2", id_col="id").count() == 1
     assert TR.walk(docs(spark, EVO)).count() == 9
     user_tables.create(spark, f"{db}/user")
     assert user_tables.insert_roster(spark, f"{db}/user", [(65, 39)], max_rows=6)
