@@ -22,10 +22,16 @@ def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABL
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def adhoc_sql(spark: SparkSession, sql: str, columns: Sequence[str] | None = None) -> DataFrame:
+def adhoc_sql(spark: SparkSession, sql: str, columns: Sequence[str] | None = None,
+              **tables: DataFrame) -> DataFrame:
     """Run SQL text; the result stays distributed. ``columns`` renames the
-    result positionally (``toDF``) like naming a client frame afterwards."""
-    df = spark.sql(sql)
+    result positionally (``toDF``) like naming a client frame afterwards.
+
+    DataFrames passed as keyword arguments are referenced as ``{name}`` in
+    the text (bound under generated view names, so no session view is
+    replaced); without them the text reads the session's tables and views.
+    """
+    df = spark.sql(sql, **tables) if tables else spark.sql(sql)
     return df.toDF(*columns) if columns else df
 
 
