@@ -56,16 +56,34 @@ def land(docs: DataFrame, path: str, id_col: str = "id", body_col: str = "body",
 
 
 def rebuild(df: DataFrame, path: str, fmt: str = "parquet",
-            sort_cols: list[str] | None = None) -> None:
+            sort_cols: list[str] | None = None, cluster: bool = False) -> None:
     """Full rebuild (drop + create + load) as an overwrite.
 
-    ``sort_cols`` sorts within output files (the ``ORDER BY`` of the load):
-    a layout choice for min/max data skipping, not a semantic.
+    ``sort_cols`` sorts within output files (the ``ORDER BY`` of the load): a
+    layout choice for min/max data skipping, not a semantic. With ``cluster``
+    the rows are first range-partitioned on the same columns, so files hold
+    non-overlapping key ranges and a key lookup skips all but one.
     """
-    out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
+    out = df
+    if sort_cols and cluster:
+        out = out.repartitionByRange(*sort_cols)
+    if sort_cols:
+        out = out.sortWithinPartitions(*sort_cols)
     out.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
+                   fmt: str = "parquet") -> None:
+    """Save a catalog table bucketed and sorted by ``keys``.
+
+    Two tables bucketed on their join key with the same bucket count join
+    without a shuffle (each bucket pair meets in one task), e.g. an entity
+    table and its bridge table.
+    """
+    (df.write.mode("overwrite").format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
+       .saveAsTable(table))
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -125,3 +125,23 @@ def test_readme_usage_flow(spark, scratch):
     assert TR.walk(docs(spark, EVO)).count() == 9
     user_tables.create(spark, f"{db}/user")
     assert user_tables.insert_roster(spark, f"{db}/user", [(65, 39)], max_rows=6)
+
+
+def test_bucketed_entity_and_bridge_join_without_shuffle(spark, scratch):
+    from nestrel.operators import relate as R
+    from nestrel.sources import landing as L
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the shuffle-join path
+    try:
+        ents = spark.range(0, 200).selectExpr("id", "concat('p', id) AS name")
+        bridge = spark.range(0, 1000).selectExpr("id % 150 AS poke_id", "id AS move_id")
+        L.write_bucketed(ents, "b_entity", ["id"], 8)
+        L.write_bucketed(bridge.withColumnRenamed("poke_id", "id"), "b_bridge", ["id"], 8)
+        e, b = spark.table("b_entity"), spark.table("b_bridge")
+        joined = e.join(b, "id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        counts = R.left_join_count(e, b, "id", "id", ["id", "name"], "ct")
+        got = {r.id: r.ct for r in counts.collect()}
+        assert got[0] == 7 and got[199] == 1          # 1000 rows over 150 keys; unmatched count 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
