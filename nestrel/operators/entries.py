@@ -68,29 +68,54 @@ def _split_numbering(df: DataFrame, key: str, order: Sequence[str], alias: str,
     (``buckets - 1`` literals), so one key's rows spread over up to
     ``buckets`` tasks. Each (key, range) piece is numbered on its own; the
     offset of a piece is the number of rows of the same key in earlier
-    ranges, summed over a per-key window of at most ``buckets`` count rows.
+    pieces, summed over a per-key window of at most a few rows per range.
     Rows in earlier ranges have strictly smaller first order values, so
     ``rank`` = offset + local rank and ``row_number`` = offset + local number.
+
+    A heavy value (one that repeats among the quantiles, i.e. holds at least
+    a range's worth of rows) would still land in one piece. With a single
+    order column its rows are tied, so they are further spread over hash
+    sub-pieces: any order among them is a valid ``row_number``, and they all
+    share the ``rank`` of their first sub-piece.
     """
     spark = df.sparkSession
     if buckets is None:
         buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     first = order[0]
-    cuts = sorted(set(x for x in df.approxQuantile(first, [i / buckets for i in range(1, buckets)], 0.001)
-                      if x is not None))
+    raw = [x for x in df.approxQuantile(first, [i / buckets for i in range(1, buckets)], 0.001)
+           if x is not None]
+    cuts = sorted(set(raw))
+    heavy = {c: raw.count(c) for c in cuts if raw.count(c) > 1} if len(order) == 1 else {}
     cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
+    v = F.col(first)
     # NULL order values get their own range, after (or before) all others
     null_range = F.lit(-1) if nulls_first else F.lit(len(cuts) + 1)
-    b = df.withColumn("__r", F.when(F.col(first).isNull(), null_range).otherwise(
-        F.size(F.filter(cut_arr, lambda c: F.col(first) > c))))
-    counts = b.groupBy(key, "__r").agg(F.count(F.lit(1)).alias("__n"))
-    prior = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "__r", F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"))
-    local = Window.partitionBy(key, "__r").orderBy(
+    b = df.withColumn("__r", F.when(v.isNull(), null_range).otherwise(
+        F.size(F.filter(cut_arr, lambda c: v > c))))
+    if heavy:
+        is_heavy = v.isin(list(heavy))
+        mult = F.lit(0)
+        for c, m in heavy.items():
+            mult = F.when(v == F.lit(c), F.lit(m)).otherwise(mult)
+        b = (b.withColumn("__e", F.when(is_heavy, 1).otherwise(0))
+              .withColumn("__s", F.when(is_heavy, F.pmod(F.xxhash64(*df.columns), mult)).otherwise(0)))
+    else:
+        b = b.withColumn("__e", F.lit(0)).withColumn("__s", F.lit(0).cast("bigint"))
+    piece = [key, "__r", "__e", "__s"]
+    counts = b.groupBy(*piece).agg(F.count(F.lit(1)).alias("__n"))
+    prior = Window.partitionBy(key).orderBy("__r", "__e", "__s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*piece, F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"))
+    if fn == "rank":
+        # tied heavy rows share the offset of their value's first sub-piece
+        offsets = offsets.withColumn("__off", F.when(
+            F.col("__e") == 1, F.min("__off").over(Window.partitionBy(key, "__r", "__e"))
+        ).otherwise(F.col("__off")))
+    local = Window.partitionBy(*piece).orderBy(
         *[(F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()) for c in order])
     num = F.row_number() if fn == "row_number" else F.rank()
-    out = b.withColumn("__l", num.over(local)).join(offsets, [key, "__r"])
-    return out.withColumn(alias, (F.col("__off") + F.col("__l")).cast("bigint")).drop("__r", "__l", "__off")
+    out = b.withColumn("__l", num.over(local)).join(offsets, piece)
+    return (out.withColumn(alias, (F.col("__off") + F.col("__l")).cast("bigint"))
+               .drop("__r", "__e", "__s", "__l", "__off"))
 
 
 def row_number_per_key(df: DataFrame, key: str, order: Sequence[str],

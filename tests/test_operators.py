@@ -188,3 +188,17 @@ def test_rank_nulls_follow_relational_order(spark):
 def test_distinct_sorted(spark):
     df = spark.createDataFrame([(3,), (1,), (None,), (3,), (2,)], "k int")
     assert [r.k for r in R.distinct_sorted(df, "k").collect()] == [1, 2, 3]
+
+
+def test_per_key_numbering_hot_key_with_one_order_value(spark):
+    # key 0 holds half the rows and almost all of them share pos = 5
+    rows = [(0, 5, i) for i in range(500)] + [(0, 7, 500), (0, 1, 501)] + \
+           [(k, k % 9, 600 + k) for k in range(1, 300)]
+    pdf = pd.DataFrame(rows, columns=["k", "pos", "uid"])
+    df = spark.createDataFrame(pdf)
+    rk = {r.uid: r.rk for r in E.rank_per_key(df, "k", ["pos"], buckets=8).collect()}
+    assert rk == dict(zip(pdf.uid, pdf.groupby("k")["pos"].rank(method="min").astype(int)))
+    rn = E.row_number_per_key(df, "k", ["pos"], buckets=8).toPandas().sort_values(["k", "rn"])
+    for k, g in rn.groupby("k"):
+        assert list(g.rn) == list(range(1, len(g) + 1))          # dense 1..n per key
+        assert list(g.pos) == sorted(g.pos)                        # consistent with the order
