@@ -46,12 +46,22 @@ def land_batch(batch: DataFrame, batch_id: int, staged_path: str, quarantine_pat
 
 def start(spark: SparkSession, source_dir: str, staged_path: str, quarantine_path: str,
           checkpoint: str, doc_schema: T.StructType | None = None, fmt: str = "parquet",
-          available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the landing stream (``availableNow`` drains what is there, then stops)."""
+          available_now: bool = True, max_files_per_trigger: int | None = None,
+          dedupe_ids: bool = False) -> StreamingQuery:
+    """Start the landing stream (``availableNow`` drains what is there, then stops).
+
+    ``dedupe_ids`` keeps the first response per id across all micro-batches
+    (the staging table's primary key): the landed ids live in the streaming
+    state store, checkpointed with the query. At scale use the RocksDB state
+    store provider (``spark.sql.streaming.stateStore.providerClass``) so the
+    id set is kept on disk rather than in executor memory.
+    """
     reader = spark.readStream.schema(RESPONSE_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.load(source_dir)
+    if dedupe_ids:
+        src = src.dropDuplicates(["id"])
     writer = (src.writeStream
               .foreachBatch(lambda df, bid: land_batch(df, bid, staged_path, quarantine_path, doc_schema))
               .option("checkpointLocation", checkpoint))

@@ -145,3 +145,18 @@ def test_bucketed_entity_and_bridge_join_without_shuffle(spark, scratch):
         assert got[0] == 7 and got[199] == 1          # 1000 rows over 150 keys; unmatched count 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_landing_stream_drops_repeated_ids(spark, scratch):
+    src = f"{scratch}/responses"
+    first = spark.createDataFrame([(1, U, 200, '{"k": 1}'), (2, U, 200, '{"k": 2}')],
+                                  "id long, url string, status int, body string")
+    again = spark.createDataFrame([(2, U, 200, '{"k": 2}'), (3, U, 404, "nf")],
+                                  "id long, url string, status int, body string")
+    first.write.parquet(src)
+    again.write.mode("append").parquet(src)
+    q = SL.start(spark, src, f"{scratch}/staged", f"{scratch}/quarantine", f"{scratch}/ckpt",
+                 max_files_per_trigger=1, dedupe_ids=True)
+    q.awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(f"{scratch}/staged").collect()) == [1, 2]
+    assert [r.id for r in spark.read.parquet(f"{scratch}/quarantine").collect()] == [3]
