@@ -16,6 +16,8 @@ folds the literal), so document and query normalisation cannot drift apart.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -132,11 +134,16 @@ def query_lexeme_list(query: str, kind: str = "exact") -> list[str]:
     """The query's lexemes, computed once by Spark with the very expression
     used for documents (a one-row evaluation). Catalyst does not fold
     higher-order functions, so without this the query would be re-normalised
-    on every row."""
+    on every row. The result depends only on (query, kind), so it is memoised."""
+    return list(_query_lexemes_cached(query, kind))
+
+
+@functools.lru_cache(maxsize=1024)
+def _query_lexemes_cached(query: str, kind: str) -> tuple[str, ...]:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     row = spark.range(1).select(query_lexemes(query, kind).alias("q")).first()
-    return sorted(row["q"] or [])
+    return tuple(sorted(row["q"] or []))
 
 
 def _literal_array(values: list[str]) -> Column:
