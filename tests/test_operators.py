@@ -202,3 +202,16 @@ def test_per_key_numbering_hot_key_with_one_order_value(spark):
     for k, g in rn.groupby("k"):
         assert list(g.rn) == list(range(1, len(g) + 1))          # dense 1..n per key
         assert list(g.pos) == sorted(g.pos)                        # consistent with the order
+
+
+def test_adhoc_sql_over_registered_views(spark):
+    from nestrel.sources.tables import adhoc_sql, register_views
+    from tests.conftest import SF_SMALL
+    register_views(spark, SF_SMALL, ["part"])
+    sql = """SELECT type, count(*) AS ct
+             FROM (SELECT explode(split(p_name, ' ')) AS type FROM part) AS tb
+             GROUP BY type ORDER BY ct DESC"""
+    got = {r["type"]: r["count"] for r in adhoc_sql(spark, sql, ["type", "count"]).collect()}
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(F.split("p_name", " ").alias("t"))
+    want = {r.e: r.ct for r in R.array_histogram(part, "t", "e", "ct").collect()}
+    assert got == want
