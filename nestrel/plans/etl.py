@@ -32,6 +32,9 @@ KEYS = {
     "pokedex": ["id"], "types": ["id"], "moves": ["id"], "abilities": ["id"],
     "pokemon_moves": ["poke_id", "move_id"], "pokemon_abilities": ["poke_id", "ability_id"],
 }
+# Declared maximum name lengths of the target tables (VARCHAR(n)).
+NAME_LENGTH = {"pokedex": 20, "types": 20, "moves": 50, "abilities": 50}
+
 FOREIGN = [
     ("pokemon_moves", "poke_id", "pokedex", "id"), ("pokemon_moves", "move_id", "moves", "id"),
     ("pokemon_abilities", "poke_id", "pokedex", "id"), ("pokemon_abilities", "ability_id", "abilities", "id"),
@@ -61,13 +64,18 @@ def build_wave2(moves: DataFrame, abilities: DataFrame) -> dict[str, DataFrame]:
 
 
 def check(spark: SparkSession, out_dir: str) -> DataFrame:
-    """One row per rule with its violation count (all zero = valid load)."""
+    """One row per rule with its violation count (all zero = valid load):
+    primary keys, foreign keys and the declared name lengths."""
     tab = {n: spark.read.parquet(f"{out_dir}/{n}") for n in KEYS}
     parts = [I.unique_violations(tab[n], k, primary=True).agg(F.count(F.lit(1)).alias("violations"))
              .select(F.lit(f"pk:{n}").alias("rule"), "violations") for n, k in KEYS.items()]
     parts += [I.fk_orphan_count(tab[c], fk, tab[p], pk).select(F.lit(f"fk:{c}.{fk}").alias("rule"),
                                                                F.col("orphans").alias("violations"))
               for c, fk, p, pk in FOREIGN]
+    parts += [I.domain_violations(tab[n], KEYS[n], {"name": {"max_len": m}})
+              .agg(F.count(F.lit(1)).alias("violations"))
+              .select(F.lit(f"len:{n}.name<={m}").alias("rule"), "violations")
+              for n, m in NAME_LENGTH.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

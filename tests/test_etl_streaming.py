@@ -32,6 +32,7 @@ def test_full_rebuild_two_waves(spark, scratch):
     assert report.pop("pk:pokemon_moves") == 1
     assert report.pop("pk:types") == 1          # the listing entry whose URL has no id
     assert report["fk:pokemon_moves.move_id"] == 0
+    assert report["len:pokedex.name<=20"] == 0 and report["len:moves.name<=50"] == 0
     assert all(v == 0 for v in report.values()), report
     ab = spark.read.parquet(f"{scratch}/db/abilities").first()
     assert ab.info == "Boost grass moves."
