@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -74,7 +75,14 @@ def spread(df: DataFrame, key: str | None = None, partitions: int | None = None,
                           -(-int(mean * len(files)) // bytes_per_task))
     if n <= len(files):
         return df
-    return df.repartition(n, key) if key else df.repartition(n)
+    spread_df = df.repartition(n, key) if key else df.repartition(n)
+    # Keep later predicates above the exchange: a deterministic filter would
+    # otherwise be pushed through the repartition into the single scan task,
+    # taking its (often heavy) per-row work with it. A filter that is always
+    # true (partition ids are >= 0) but not deterministic is neither combined
+    # with nor crossed by later filters; column pruning still reaches the
+    # scan. Only inputs small enough to be spread lose scan-level pushdown.
+    return spread_df.where(F.spark_partition_id() >= F.lit(0))
 
 
 def _max_split_bytes(spark: SparkSession) -> int:
