@@ -215,3 +215,20 @@ def test_adhoc_sql_over_registered_views(spark):
     part = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(F.split("p_name", " ").alias("t"))
     want = {r.e: r.ct for r in R.array_histogram(part, "t", "e", "ct").collect()}
     assert got == want
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=12), min_size=1, max_size=15, unique=True),
+       st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=15)), max_size=60))
+def test_left_join_count_matches_brute_force(spark, left_ids, right_keys):
+    left = pd.DataFrame({"id": left_ids, "name": [f"n{i}" for i in left_ids]})
+    right = pd.DataFrame({"fk": pd.array(right_keys, dtype="Int64")})
+    ldf = spark.createDataFrame(left, "id long, name string")
+    rdf = spark.createDataFrame([(k,) for k in right_keys], "fk long")
+    merged = left.merge(right, left_on="id", right_on="fk", how="left")
+    want_rows = merged.groupby("id").size().to_dict()                    # count(*)
+    want_matched = merged.groupby("id")["fk"].count().to_dict()          # count(fk)
+    got_rows = {r.id: r.ct for r in R.left_join_count(ldf, rdf, "id", "fk", ["id", "name"]).collect()}
+    got_matched = {r.id: r.ct for r in R.left_join_count(ldf, rdf, "id", "fk", ["id", "name"],
+                                                           count_rows=False).collect()}
+    assert got_rows == want_rows and got_matched == want_matched
