@@ -67,3 +67,9 @@ def test_hot_key_operators_pre_aggregate_before_shuffling(spark):
         below_exchange = p.split("Exchange hashpartitioning", 1)[-1]
         # a partial aggregate function, or a key-only (distinct) pre-aggregation
         assert "partial_" in p or "Aggregate(keys=" in below_exchange, k
+
+
+def test_fixed_dimension_lookup_is_broadcast(spark):
+    # nation (25 rows, fixed) is the only explicit broadcast hint in the catalogue
+    p = plan(C.QUERIES["multi_join_detail"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in p and "n_nationkey" in p.split("BroadcastHashJoin", 1)[1]
