@@ -83,12 +83,6 @@ def light_stems(toks: Column) -> Column:
     return F.transform(s2, lambda x: F.when(x.getField("f"), _fixup(x.getField("s"))).otherwise(x.getField("s")))
 
 
-def tokens(text: Column) -> Column:
-    """Lowercased tokens, empty strings removed (duplicates kept)."""
-    parts = F.split(F.lower(text), TOKEN_SPLIT)
-    return F.filter(parts, lambda t: t != F.lit(""))
-
-
 def _stop_array(stop_words=ENGLISH_STOP_WORDS) -> Column:
     # one literal split into an array (constant-folded): "" plus the stop words
     return F.split(F.lit("|" + "|".join(stop_words)), r"\|")
