@@ -73,3 +73,16 @@ def test_fixed_dimension_lookup_is_broadcast(spark):
     # nation (25 rows, fixed) is the only explicit broadcast hint in the catalogue
     p = plan(C.QUERIES["multi_join_detail"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p and "n_nationkey" in p.split("BroadcastHashJoin", 1)[1]
+
+
+def test_spread_keeps_later_filters_above_its_exchange(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from nestrel.sources.tables import spread
+    spark.range(1000).selectExpr("id", "cast(id as string) AS t").coalesce(1).write.parquet(f"{scratch}/one")
+    df = spread(spark.read.parquet(f"{scratch}/one"), "id", bytes_per_task=1024)
+    q = df.where(F.length("t") > 2)
+    p = plan(q)
+    below = p.split("Exchange hashpartitioning", 1)[1]
+    assert "length(t" not in below           # the predicate runs after the spread
+    assert q.count() == 900
