@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nestrel.llm import minhash, packing, sharding
+from nestrel.llm import linededup, minhash, packing, sharding
 from nestrel.llm.common import read
 
 
@@ -12,6 +12,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.delete_repeated_runs(
+        read(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_deleted"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_bytes(read(spark, sf_dir, "documents"))
 
@@ -20,5 +25,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op8_sharding, op10_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_minhash, op7_linededup, op8_sharding, op10_packing)}
+ORACLE: dict[str, str] = {"op7_linededup": linededup.SQL}

@@ -60,6 +60,7 @@ def minimax_cuts(ends: DataFrame, total: int, k: int, blocks: int = 1 << 15) ->
     """Greedy shard ends under the smallest feasible capacity. ``ends``: one column
     ``total_end`` (long), the distinct running totals after each group. ``blocks``:
     how many totals a round may bring to the driver."""
+    blocks = max(blocks, 4 * k * k)                 # so that every round asks finer than the last
     state = Ends(np.array([0, total]), np.array([True]))
     while True:
         lo, hi = state.capacity(k, True), state.capacity(k, False)
@@ -79,20 +80,22 @@ def minimax_cuts(ends: DataFrame, total: int, k: int, blocks: int = 1 << 15) ->
             for _ in range(k):
                 slow, fast = state.cut(slow + lo, False), min(total, state.cut(fast + hi, True))
                 spans.append((slow, fast))
-        ask = [i for i in range(len(state.hidden)) if state.hidden[i]
-               and any(state.known[i] <= b and state.known[i + 1] >= a for a, b in spans)]
-        state = refine(state, ends, ask, blocks)
-
-
-def refine(state: Ends, ends: DataFrame, ask: list[int], blocks: int) -> Ends:
-    """Cut the blocks ``ask`` into about ``blocks`` equal parts and fetch, for each
-    part that holds totals, its largest one and whether it holds more."""
-    runs = []                                       # merge neighbours: fewer predicates
-    for i in ask:
-        a, b = int(state.known[i]), int(state.known[i + 1])
-        if runs and runs[-1][1] == a:
-            runs[-1][1] = b
-        else:
+        state = refine(state, ends, spans, blocks)
+
+
+def refine(state: Ends, ends: DataFrame, spans: list[tuple[int, int]], blocks: int) -> Ends:
+    """Cut the spans, widened to known totals, into about ``blocks`` equal parts and
+    fetch, for each part that holds totals, its first and last one and whether it
+    holds more. There are at most as many spans as shards."""
+    runs: list[list[int]] = []
+    last = len(state.known) - 1
+    for a, b in sorted(spans):
+        i = max(0, int(np.searchsorted(state.known, a, side="right")) - 1)
+        j = min(last, max(i + 1, int(np.searchsorted(state.known, b, side="left"))))
+        a, b = int(state.known[i]), int(state.known[j])
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(b, runs[-1][1])
+        elif a < b:
             runs.append([a, b])
     width = max(1, sum(b - a for a, b in runs) // blocks)
     end = F.col("total_end")
@@ -102,20 +105,17 @@ def refine(state: Ends, ends: DataFrame, ask: list[int], blocks: int) -> Ends:
     got = (ends.where(inside).groupBy(F.floor(end / width).alias("part"))
            .agg(F.max(end).alias("last"), F.min(end).alias("first"), F.count(F.lit(1)).alias("n"))
            .collect())
-    new: dict[int, bool] = {}
-    for r in got:
-        if r["n"] > 1:
-            new[r["first"]] = False
-            new[r["last"]] = r["n"] > 2 and r["last"] - r["first"] > 1   # totals hidden just before it
-        else:
-            new[r["last"]] = False
-    asked = set(ask)
-    before = {int(x): bool(h) for i, (x, h) in enumerate(zip(state.known[1:], state.hidden)) if i not in asked}
-    for i in ask:
-        before.setdefault(int(state.known[i + 1]), False)
-    before.update(new)
-    known = np.array([0, *sorted(before)])
-    return Ends(known, np.array([before[int(x)] for x in known[1:]]))
+    fresh = sorted((r["first"], r["last"], r["n"] > 2) for r in got)
+    known = np.array(sorted({*map(int, state.known), *(x for f in fresh for x in f[:2])}))
+    # a gap may hide totals if it did so before and, where asked, lies inside a part with more
+    hidden = state.hidden[np.searchsorted(state.known, known[1:]) - 1].copy()
+    asked = np.zeros(len(hidden), dtype=bool)
+    more = np.zeros(len(hidden), dtype=bool)
+    for where, spans_ in ((asked, runs), (more, [f[:2] for f in fresh if f[2]])):
+        for a, b in spans_:
+            where[np.searchsorted(known, a):np.searchsorted(known, b)] = True
+    hidden &= (~asked | more) & (np.diff(known) > 1)
+    return Ends(known, hidden)
 
 
 def running(df: DataFrame, keys: list[str]) -> DataFrame:
