@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nestrel.llm import linededup, minhash, packing, sharding
-from nestrel.llm.common import read
+from nestrel.llm import langid, linededup, minhash, packing, sharding, warc
+from nestrel.llm.common import new_path, read
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read(spark, sf_dir, "pages"), new_path(spark, "warc"))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.delete_repeated_runs(
         read(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_deleted"))
@@ -25,5 +33,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op7_linededup, op8_sharding, op10_packing)}
-ORACLE: dict[str, str] = {"op7_linededup": linededup.SQL}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_warc, op4_langid, op7_linededup, op8_sharding, op10_packing)}
+ORACLE: dict[str, str] = {"op2_warc": warc.SQL, "op7_linededup": linededup.SQL}
