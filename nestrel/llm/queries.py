@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nestrel.llm import langid, linededup, minhash, packing, sharding, warc
+from nestrel.llm import decontaminate, langid, linededup, minhash, packing, sharding, toxicity, warc
 from nestrel.llm.common import new_path, read
 
 
@@ -20,6 +20,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.delete_repeated_runs(
         read(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_deleted"))
@@ -29,9 +33,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_bytes(read(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_warc, op4_langid, op7_linededup, op8_sharding, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_warc, op4_langid, op5_decontaminate, op7_linededup, op8_sharding, op9_toxicity, op10_packing)}
 ORACLE: dict[str, str] = {"op2_warc": warc.SQL, "op7_linededup": linededup.SQL}
