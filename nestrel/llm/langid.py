@@ -108,6 +108,18 @@ def train(docs: DataFrame, rows: int = 5000, id_col: str = "doc_id", text_col: s
     return langs, np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
 
 
+def _scored(texts: list[str | None], langs: list[str], matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the number of its language (len(langs): und) and the posterior."""
+    grams, owner = ngrams(texts)
+    sums = np.stack([np.bincount(owner, matrix[grams, j], minlength=len(texts))
+                     for j in range(matrix.shape[1])], axis=1)
+    sums -= sums.max(axis=1, keepdims=True)
+    best, score = sums.argmax(axis=1), 1 / np.exp(sums).sum(axis=1)
+    none = np.array([not t or not any(map(str.isalpha, t)) for t in texts]) | (not langs)
+    best[none], score[none] = len(langs), 0.0
+    return best, score
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score for every row of ``docs``, from the whole text alone. The
@@ -116,18 +128,10 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, matrix = shared.value
-        names = np.array([*langs, "und"], dtype=object)
+        names = np.array([*shared.value[0], "und"], dtype=object)
         for batch in batches:
             for ids, texts in parts(batch.column(0), batch.column(1)):
-                grams, owner = ngrams(texts)
-                sums = np.stack([np.bincount(owner, matrix[grams, j], minlength=len(texts))
-                                 for j in range(matrix.shape[1])], axis=1)
-                sums -= sums.max(axis=1, keepdims=True)
-                best = sums.argmax(axis=1)
-                score = 1 / np.exp(sums).sum(axis=1)
-                none = np.array([not t or not any(map(str.isalpha, t)) for t in texts]) | (not langs)
-                best[none], score[none] = len(langs), 0.0
+                best, score = _scored(texts, *shared.value)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(names[best], pa.string()), pa.array(score)],
                                                  names=["doc_id", "lang_pred", "score"])
 
@@ -135,6 +139,24 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
             .mapInArrow(task, "doc_id long, lang_pred string, score double"))
 
 
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], least: float = 0.5,
+                    text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a learned language with
+    a score of at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = 0
+            for _, texts in parts(batch.column(at), batch.column(at)):
+                best, score = _scored(texts, *shared.value)
+                yield batch.slice(start, len(texts)).filter(pa.array((best < len(shared.value[0])) & (score >= least)))
+                start += len(texts)
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def identify(docs: DataFrame, rows: int = 5000, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """Train on the labelled rows and predict every row: doc_id, held_out, lang_pred, score.

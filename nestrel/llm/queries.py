@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nestrel.llm import decontaminate, langid, linededup, minhash, packing, sharding, toxicity, warc
+from nestrel.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    linededup,
+    minhash,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+    warc,
+)
 from nestrel.llm.common import new_path, read
 
 
@@ -16,6 +27,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(read(spark, sf_dir, "pages"), new_path(spark, "warc"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -24,6 +39,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read(spark, sf_dir, "documents"))
+
+
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.delete_repeated_runs(
         read(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_deleted"))
@@ -41,5 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_warc, op4_langid, op5_decontaminate, op7_linededup, op8_sharding, op9_toxicity, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash, op2_warc, op3_licenses, op4_langid, op5_decontaminate, op6_quality, op7_linededup, op8_sharding,
+    op9_toxicity, op10_packing)}
 ORACLE: dict[str, str] = {"op2_warc": warc.SQL, "op7_linededup": linededup.SQL}
