@@ -8,15 +8,17 @@
    by bit counts over the packed signatures, corrected for collisions of the low
    bits; only pairs far below the threshold (``SIGMAS`` standard errors) are left out.
    What remains is confirmed on the full shingle sets.
-4. No bucket is expanded into all its pairs. First every member is held against its
-   bucket's smallest id (in 40 buckets, so mostly several), which makes one component
-   of a large group of near copies in linearly many comparisons. Then only members of *different* components that still share a bucket
-   are compared: pairs inside a component can add nothing.
+4. No bucket is expanded into all its pairs. In two rounds every document is held
+   against at most two bucket leaders: the smallest one, and the one that leads most of
+   its buckets (from the second round on leaders come from a bucket's largest component).
+   That makes one component of a large group of near copies in linearly many comparisons. Then only
+   members of *different* components that still share a bucket are compared, from the
+   smaller side: pairs inside a component can add nothing.
 5. Components come from min-label propagation with pointer jumping over the confirmed
    links, on tables in the shared folder.
 
 With 40 bands of 5 rows a pair at similarity 0.75 shares no bucket with a probability
-of 2e-5, and the estimate loses it with one of 3e-6.
+of 2e-5, and the estimate loses it with one of 3e-5.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 from nestrel.llm.common import materialize
 from nestrel.llm.shingles import mix, normal, shingle_hashes
 
-BITS, SIGMAS = 2, 4.5
+BITS, SIGMAS = 4, 4.0
+ID_BITS = 1 << 23        # of the bitmap that tells which texts are looked at again
 
 
 def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,11 +108,13 @@ def plausible(n: int, words: int, percent: int) -> Column:
     t = percent / 100
     agree = t + (1 - t) / (1 << BITS)            # chance that the low bits of two minima agree
     least = agree - SIGMAS * math.sqrt(agree * (1 - agree) / n)
-    low = int("01" * 32, 2)                       # the lowest bit of every field
+    low = int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)      # the lowest bit of every field
     differ = F.lit(0)
     for i in range(words):
         x = F.col("a.packed")[i].bitwiseXOR(F.col("b.packed")[i])
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(low)))
+        for shift in (1, 2):                      # BITS = 4: or of a field's bits in its lowest
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(low)))
     sizes = (F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent)
     return sizes & (differ <= math.floor((1 - least) * n))
 
@@ -137,6 +142,27 @@ def components(nodes: DataFrame, links: DataFrame, most_rounds: int = 200) -> Da
             .select("node", F.coalesce("label", "node").alias("component")))
 
 
+def texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) of ``source`` with an id in ``wanted`` (distinct doc_id). A
+    bitmap of fixed size over the ids' last bits keeps most other texts out of the
+    shuffle; what it lets through the join decides."""
+    last = F.col("doc_id").bitwiseAND(F.lit(ID_BITS - 1))
+    words = (wanted.groupBy(F.shiftright(last, 6).cast("int").alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(doc_id & 63 as int))")).alias("bits")).collect())
+    bitmap = np.zeros(ID_BITS // 64, dtype=np.int64)
+    for r in words:
+        bitmap[r["word"]] = r["bits"]
+    shared = source.sparkSession.sparkContext.broadcast(bitmap)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            at = ids & (ID_BITS - 1)
+            yield batch.filter(pa.array((shared.value[at >> 6] >> (at & 63)) & 1 > 0))
+
+    return source.mapInArrow(task, "doc_id long, text string").join(wanted.hint("merge"), "doc_id", "left_semi")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs (a, b) whose full sets pass 100 * |A n B| >= percent * |A u B|."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,51 +214,59 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
         .dropDuplicates(["set_key"]).select("doc_id", "set_key", "n_shingles", "buckets", "packed"), "reps")
 
     member = reps.select(F.explode("buckets").alias("bucket"), "doc_id")
-    size = member.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n"))
-    shared = materialize(member.join(size.where("n > 1").drop("n"), "bucket"), "buckets")
-
-    def estimate(pairs: DataFrame) -> DataFrame:
-        some = reps.select("doc_id", "n_shingles", "packed")
-        return (pairs.distinct().join(some.alias("a"), F.col("x") == F.col("a.doc_id"))
-                .join(some.alias("b"), F.col("y") == F.col("b.doc_id"))
-                .where(plausible(bands * rows, words, percent))
-                .select(F.col("x").alias("a"), F.col("y").alias("b")))
-
-    # linear pass: each member with its bucket's leader
-    star = materialize(estimate(shared.where("doc_id <> leader").select(F.col("leader").alias("x"),
-                                                                          F.col("doc_id").alias("y"))), "star")
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    shared = materialize(member.join(
+        member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "bucket"), "buckets")
+    some = reps.select("doc_id", "n_shingles", "packed")
+    source = (docs.where(F.col(id_col).isNotNull())
+              .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = materialize(source.join(wanted, "doc_id", "left_semi"), "texts")
+        texts = materialize(texts_of(source, wanted), "texts")
         return materialize(confirmed(pairs, texts, percent, shingle), "confirmed")
 
-    links = confirm(star)
-    first = materialize(components(reps.select(F.col("doc_id").alias("node")), links), "components")
+    nodes = reps.select(F.col("doc_id").alias("node")).distinct()
+    first = nodes.select("node", F.col("node").alias("component"))
+    links = None
+    for rounds in range(2):
+        mates = shared.join(first.withColumnRenamed("node", "doc_id"), "doc_id")
+        parts = mates.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"))
+        lead = parts.groupBy("bucket").agg(F.max(F.struct("n", (-F.col("low")).alias("neg"), "component")).alias("x")).select(
+            "bucket", (-F.col("x.neg")).alias("leader"), F.col("x.component").alias("main"))
+        votes = (mates.join(lead, "bucket").where("component <> main").groupBy("doc_id", "leader")
+                 .agg(F.count(F.lit(1)).alias("n")))
+        pairs = (votes.groupBy("doc_id").agg(F.min("leader").alias("x"), F.max_by("leader", "n").alias("y"))
+                 .select("doc_id", F.explode(F.array_distinct(F.array("x", "y"))).alias("leader"))
+                 .select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct())
+        pairs = (pairs.join(some.alias("a"), F.col("a") == F.col("a.doc_id"))
+                 .join(some.alias("b"), F.col("b") == F.col("b.doc_id"))
+                 .where(plausible(bands * rows, words, percent)).select(F.col("a"), F.col("b")))
+        star = confirm(materialize(pairs, "star"))
+        links = star if links is None else links.union(star).distinct()
+        first = materialize(components(nodes, links), "components")
 
     # what is left: bucket mates in different components, found from the smaller side
-    mates = shared.select("bucket", "doc_id").join(
-        first.withColumnRenamed("node", "doc_id"), "doc_id")
+    mates = shared.join(first.withColumnRenamed("node", "doc_id"), "doc_id")
     mixed = (mates.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("main"))
              .where("parts > 1").drop("parts"))
-    mates = materialize(mates.join(mixed, "bucket").join(
-        reps.select("doc_id", "n_shingles", "packed"), "doc_id"), "mates")
+    mates = materialize(mates.join(mixed, "bucket").join(reps.drop("set_key"), "doc_id"), "mates")
+    # a pair is looked at in the smallest of the buckets that it shares
+    once = F.array_min(F.array_intersect("a.buckets", "b.buckets")) == F.col("a.bucket")
     small = mates.where("component <> main")
     rest = (small.alias("a").join(mates.alias("b"), (F.col("a.bucket") == F.col("b.bucket"))
                                   & (F.col("a.component") != F.col("b.component"))
                                   & ((F.col("b.component") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
-                                  & plausible(bands * rows, words, percent))
+                                  & plausible(bands * rows, words, percent) & once)
             .select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b"))
-            .distinct().join(star, ["a", "b"], "left_anti"))
+            .distinct())
     more = confirm(materialize(rest, "rest"))
     label = first.select(F.col("node").alias("k"), "component")
     joined = (more.join(label.select(F.col("k").alias("a"), F.col("component").alias("ca")), "a")
               .join(label.select(F.col("k").alias("b"), F.col("component").alias("cb")), "b")
               .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
     final = components(first.select(F.col("component").alias("node")).distinct(), joined)
-    every = links.union(more)
+    every = links.union(more).distinct()
     degree = (every.select("a").union(every.select("b")).groupBy(F.col("a").alias("rep"))
               .agg(F.count(F.lit(1)).alias("n_links")))
     by_rep = (first.join(final.select(F.col("node").alias("component"), F.col("component").alias("component_id")),
