@@ -46,7 +46,7 @@ def round_to_int(x: Column) -> Column:
     A plain cast truncates; going through DECIMAL keeps the rounding exact for
     values that arrive as DOUBLE (no binary 2.4999... surprises).
     """
-    return F.round(x.cast("decimal(20,6)"), 0).cast("int")
+    return F.round(x.cast("decimal(38,18)"), 0).cast("int")
 
 
 def html_links(html: Column) -> tuple[Column, Column]:

@@ -21,6 +21,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_in_array(entries: Column, pred: Callable[[Column], Column],
@@ -72,60 +73,46 @@ def _split_numbering(df: DataFrame, key: str, order: Sequence[str], alias: str,
     Rows in earlier ranges have strictly smaller first order values, so
     ``rank`` = offset + local rank and ``row_number`` = offset + local number.
 
-    A heavy value (one that repeats among the quantiles, i.e. holds at least
-    a range's worth of rows) would still land in one piece. With a single
-    order column its rows are tied, so they are further spread over hash
-    sub-pieces: any order among them is a valid ``row_number``, and they all
-    share the ``rank`` of their first sub-piece.
+    Cuts are doubles; values are compared as doubles, too, which keeps their order, so
+    values too close to tell apart share a range and are ordered inside it in their own
+    type. Rows of a NULL key are one key. An order column that is neither numeric nor a
+    date or timestamp cannot be cut: the plain window numbers it.
     """
-    spark = df.sparkSession
+    nulls = [(F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()) for c in order]
+    num = F.row_number() if fn == "row_number" else F.rank()
+    first, kind = order[0], df.schema[order[0]].dataType
+    if isinstance(kind, (T.TimestampType, T.DateType)):
+        v = F.unix_micros(F.col(first).cast("timestamp")).cast("double")
+    elif isinstance(kind, T.NumericType):
+        v = F.col(first).cast("double")
+    else:
+        return df.withColumn(alias, num.over(Window.partitionBy(key).orderBy(*nulls)).cast("bigint"))
     if buckets is None:
-        buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    first = order[0]
-    raw = [x for x in df.approxQuantile(first, [i / buckets for i in range(1, buckets)], 0.001)
-           if x is not None]
-    cuts = sorted(set(raw))
-    heavy = {c: raw.count(c) for c in cuts if raw.count(c) > 1} if len(order) == 1 else {}
+        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = sorted(set(df.select(v.alias("v")).approxQuantile("v", [i / buckets for i in range(1, buckets)], 0.001)))
     cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    v = F.col(first)
     # NULL order values get their own range, after (or before) all others
     null_range = F.lit(-1) if nulls_first else F.lit(len(cuts) + 1)
     b = df.withColumn("__r", F.when(v.isNull(), null_range).otherwise(
         F.size(F.filter(cut_arr, lambda c: v > c))))
-    if heavy:
-        is_heavy = v.isin(list(heavy))
-        mult = F.lit(0)
-        for c, m in heavy.items():
-            mult = F.when(v == F.lit(c), F.lit(m)).otherwise(mult)
-        b = (b.withColumn("__e", F.when(is_heavy, 1).otherwise(0))
-              .withColumn("__s", F.when(is_heavy, F.pmod(F.xxhash64(*df.columns), mult)).otherwise(0)))
-    else:
-        b = b.withColumn("__e", F.lit(0)).withColumn("__s", F.lit(0).cast("bigint"))
-    piece = [key, "__r", "__e", "__s"]
-    counts = b.groupBy(*piece).agg(F.count(F.lit(1)).alias("__n"))
-    prior = Window.partitionBy(key).orderBy("__r", "__e", "__s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*piece, F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"))
-    if fn == "rank":
-        # tied heavy rows share the offset of their value's first sub-piece
-        offsets = offsets.withColumn("__off", F.when(
-            F.col("__e") == 1, F.min("__off").over(Window.partitionBy(key, "__r", "__e"))
-        ).otherwise(F.col("__off")))
-    local = Window.partitionBy(*piece).orderBy(
-        *[(F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()) for c in order])
-    num = F.row_number() if fn == "row_number" else F.rank()
-    out = b.withColumn("__l", num.over(local)).join(offsets, piece)
+    prior = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (b.groupBy(key, "__r").agg(F.count(F.lit(1)).alias("__n"))
+               .select(F.col(key).alias("__k"), F.col("__r").alias("__q"),
+                       F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off")))
+    local = Window.partitionBy(key, "__r").orderBy(*nulls)
+    out = b.withColumn("__l", num.over(local)).join(
+        offsets, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__r") == F.col("__q")))
     return (out.withColumn(alias, (F.col("__off") + F.col("__l")).cast("bigint"))
-               .drop("__r", "__e", "__s", "__l", "__off"))
+               .drop("__r", "__l", "__off", "__k", "__q"))
 
 
 def row_number_per_key(df: DataFrame, key: str, order: Sequence[str],
-                       alias: str = "rn", split_hot_keys: bool = True,
+                       alias: str = "rn", split_hot_keys: bool = False,
                        buckets: int | None = None) -> DataFrame:
     """``row_number() over (partition by key order by ...)`` as BIGINT.
 
-    With ``split_hot_keys`` (default) a key holding a large share of the rows
-    is numbered by several tasks (see ``_split_numbering``); the first order
-    column must be numeric. Otherwise a plain window partitioned by key.
+    A plain window partitioned by key; with ``split_hot_keys`` a key holding a large
+    share of the rows is numbered by several tasks (see ``_split_numbering``).
     """
     if split_hot_keys:
         return _split_numbering(df, key, order, alias, "row_number", buckets)
@@ -134,7 +121,7 @@ def row_number_per_key(df: DataFrame, key: str, order: Sequence[str],
 
 
 def rank_per_key(df: DataFrame, key: str, order: Sequence[str], pred: Column | None = None,
-                 alias: str = "rk", split_hot_keys: bool = True,
+                 alias: str = "rk", split_hot_keys: bool = False,
                  buckets: int | None = None) -> DataFrame:
     """``rank() over (partition by key order by ...)`` after an optional filter."""
     src = df if pred is None else df.where(pred)

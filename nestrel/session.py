@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -41,22 +40,4 @@ def get_spark(master: str | None = None, app: str = "nestrel",
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory; only set one when the session has none.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; we never
-    override it. Local runs (tests, bench) get a fresh scratch folder.
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="nestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return spark.sparkContext.getCheckpointDir() or conf_dir
+    return builder.getOrCreate()

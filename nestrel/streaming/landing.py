@@ -33,6 +33,7 @@ RESPONSE_SCHEMA = T.StructType([
 def land_batch(batch: DataFrame, batch_id: int, staged_path: str, quarantine_path: str,
                doc_schema: T.StructType | None = None) -> None:
     """Split one micro-batch and write both sides idempotently."""
+    batch = batch.persist()             # both sides are written from it
     good, bad = split_responses(batch)
     if doc_schema is not None:
         # malformed bodies of 200 responses are quarantined too
@@ -42,6 +43,7 @@ def land_batch(batch: DataFrame, batch_id: int, staged_path: str, quarantine_pat
     good.select("id", "body").write.mode("overwrite").parquet(f"{staged_path}/batch_id={batch_id}")
     bad.select("id", "url", "status", "body").write.mode("overwrite") \
         .parquet(f"{quarantine_path}/batch_id={batch_id}")
+    batch.unpersist()
 
 
 def start(spark: SparkSession, source_dir: str, staged_path: str, quarantine_path: str,
@@ -50,7 +52,7 @@ def start(spark: SparkSession, source_dir: str, staged_path: str, quarantine_pat
           dedupe_ids: bool = False) -> StreamingQuery:
     """Start the landing stream (``availableNow`` drains what is there, then stops).
 
-    ``dedupe_ids`` keeps the first response per id across all micro-batches
+    ``dedupe_ids`` keeps the first accepted response per id across all micro-batches
     (the staging table's primary key): the landed ids live in the streaming
     state store, checkpointed with the query. At scale use the RocksDB state
     store provider (``spark.sql.streaming.stateStore.providerClass``) so the
@@ -61,7 +63,9 @@ def start(spark: SparkSession, source_dir: str, staged_path: str, quarantine_pat
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.load(source_dir)
     if dedupe_ids:
-        src = src.dropDuplicates(["id"])
+        # only accepted documents claim an id: a 404 must not block a later 200
+        accepted = F.col("status").eqNullSafe(F.lit(200))
+        src = src.where(accepted).dropDuplicates(["id"]).unionByName(src.where(~accepted))
     writer = (src.writeStream
               .foreachBatch(lambda df, bid: land_batch(df, bid, staged_path, quarantine_path, doc_schema))
               .option("checkpointLocation", checkpoint))

@@ -4,12 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from nestrel.plans import catalog
 from nestrel.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracle import digest, duck_types, spark_types
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def con():
 def test_every_query_has_an_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"fts_lexemes"}
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))

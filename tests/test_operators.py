@@ -232,3 +232,22 @@ def test_left_join_count_matches_brute_force(spark, left_ids, right_keys):
     got_matched = {r.id: r.ct for r in R.left_join_count(ldf, rdf, "id", "fk", ["id", "name"],
                                                            count_rows=False).collect()}
     assert got_rows == want_rows and got_matched == want_matched
+
+
+def test_numbering_equals_the_plain_window(spark):
+    from pyspark.sql import Window
+
+    rows = [(None if i % 7 == 0 else f"k{i % 3}", None if i % 11 == 0 else 1_700_000_000_000_000_000 + i % 97, i)
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, ns long, uid long")
+    df = df.withColumn("ts", F.timestamp_micros(F.col("ns") % 1_000_000)).withColumn("s", F.col("ns").cast("string"))
+    for col in ("ns", "ts", "s"):
+        w = Window.partitionBy("k").orderBy(F.col(col).asc_nulls_last())
+        want = {r.uid: r.x for r in df.select("uid", F.rank().over(w).alias("x")).collect()}
+        for buckets in (8, 64):
+            got = {r.uid: r.rk for r in E.rank_per_key(df, "k", [col], split_hot_keys=True, buckets=buckets).collect()}
+            assert got == want
+        w = w.orderBy(F.col(col).asc_nulls_last(), "uid")
+        want = {r.uid: r.x for r in df.select("uid", F.row_number().over(w).alias("x")).collect()}
+        got = {r.uid: r.rn for r in E.row_number_per_key(df, "k", [col, "uid"], split_hot_keys=True, buckets=16).collect()}
+        assert got == want
