@@ -1,8 +1,9 @@
 """b-bit MinHash near-duplicates.
 
 1. One pass over the texts: each document's distinct word shingles are hashed to
-   ``bands * rows`` minima. The minima of a band make its bucket; of every minimum the
-   low ``BITS`` bits are kept, packed into 64-bit words. Texts are not shuffled.
+   ``bands * rows + more_minima`` minima. The first ones make the buckets of the bands;
+   of every minimum the low ``BITS`` bits are kept, packed into 64-bit words. The further
+   ones only sharpen the estimate. Texts are not shuffled.
 2. Documents with the same words are one representative (the smallest id) from here on.
 3. Candidates are representatives that share a bucket. Their similarity is estimated
    by bit counts over the packed signatures, corrected for collisions of the low
@@ -59,9 +60,10 @@ def minima(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits), buckets, packed (low bits of all minima)."""
-    n = bands * rows
+def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, n: int, id_col: str,
+               text_col: str) -> DataFrame:
+    """doc_id, n_shingles, set_key (128 bits), buckets (of the first ``bands * rows``
+    minima), packed (low bits of all ``n`` minima)."""
     per_word = 64 // BITS
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +80,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str
                     key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
                     key = np.broadcast_to(key, (len(part), bands)).copy()
                     for r in range(rows):
-                        key = mix(key ^ m[:, r::rows].astype(np.uint64) + np.uint64(r + 1))
+                        key = mix(key ^ m[:, r:bands * rows:rows].astype(np.uint64) + np.uint64(r + 1))
                     buckets[part] = key.view(np.int64)
                     low = (m & np.uint32((1 << BITS) - 1)).astype(np.uint64)
                     word = np.zeros((len(part), packed.shape[1]), dtype=np.uint64)
@@ -192,7 +194,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) ->
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands: int = 40, rows: int = 5,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    more_minima: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, n_links
     (confirmed links found of the document's representative).
 
@@ -204,8 +206,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
     one id with different texts are one document, linked by any of them. Other columns
     are ignored; no rows give no rows.
     """
-    words = -(-bands * rows * BITS // 64)
-    sig = materialize(signatures(docs, shingle, bands, rows, id_col, text_col), "signatures")
+    n_minima = bands * rows + more_minima
+    words = -(-n_minima * BITS // 64)
+    sig = materialize(signatures(docs, shingle, bands, rows, n_minima, id_col, text_col), "signatures")
     full = sig.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = materialize(full.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     # one row per class: its representative, and what all members share
@@ -240,7 +243,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
                  .select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct())
         pairs = (pairs.join(some.alias("a"), F.col("a") == F.col("a.doc_id"))
                  .join(some.alias("b"), F.col("b") == F.col("b.doc_id"))
-                 .where(plausible(bands * rows, words, percent)).select(F.col("a"), F.col("b")))
+                 .where(plausible(n_minima, words, percent)).select(F.col("a"), F.col("b")))
         star = confirm(materialize(pairs, "star"))
         links = star if links is None else links.union(star).distinct()
         first = materialize(components(nodes, links), "components")
@@ -257,7 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
     rest = (small.alias("a").join(mates.alias("b"), (F.col("a.bucket") == F.col("b.bucket"))
                                   & (F.col("a.component") != F.col("b.component"))
                                   & ((F.col("b.component") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
-                                  & plausible(bands * rows, words, percent) & once)
+                                  & plausible(n_minima, words, percent) & once)
             .select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b"))
             .distinct())
     more = confirm(materialize(rest, "rest"))
