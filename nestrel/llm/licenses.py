@@ -169,19 +169,19 @@ def scan(docs: DataFrame, negatives: int = 6000, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("t"),
                        F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1),
                                 lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    paragraphs = rows.select("doc_id", "t", F.explode("lines").alias("line")).select(
-        "doc_id", "t", tokens(F.col("line")).alias("words"))
+    paragraphs = rows.select("doc_id", "t", F.posexplode("lines").alias("at", "line")).select(
+        "doc_id", "t", "at", tokens(F.col("line")).alias("words"))
     model, labels, temperature, least = train(spark, paragraphs.select("words"), negatives)
 
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True).transform(grams(paragraphs))
     # only the raw scores are asked for; as a generator's output they are made once a
     # paragraph (a filter on them would else be pushed below and make them again)
     model = model.copy().setProbabilityCol("").setPredictionCol("")
-    z = model.transform(hashed).select("doc_id", "t", "words",
+    z = model.transform(hashed).select("doc_id", "t", "at", "words",
                                        F.explode(F.array(vector_to_array("rawPrediction"))).alias("z"))
     best = F.array_position("z", F.array_max("z")).cast("int")
     likely = z.where(best != 1).select(
-        "doc_id", "t", "words", F.element_at(F.array(*map(F.lit, labels)), best).alias("family"),
+        "doc_id", "t", "at", "words", F.element_at(F.array(*map(F.lit, labels)), best).alias("family"),
         F.expr(f"1D / aggregate(z, 0D, (a, v) -> a + exp((v - array_max(z)) / {temperature}D))").alias("p"))
     templates = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, text string")
     templates = (templates.select("family", F.array_distinct(tokens(F.col("text"))).alias("template"))
@@ -190,8 +190,9 @@ def scan(docs: DataFrame, negatives: int = 6000, id_col: str = "doc_id", text_co
     close = F.expr("coalesce(array_max(transform(templates, x -> size(array_intersect(x, words)) / size(x))), 0D)")
     sure = (F.col("p") >= least) & (close >= CONFIRMS)
     found = (likely.join(F.broadcast(templates), "family", "left")
-             .select("doc_id", "t", F.when(sure, F.col("family")).otherwise("unknown").alias("family"), "p",
-                     (sure | (F.col("p") >= STRICT)).alias("is")).where("is").drop("is"))
+             .select("doc_id", "t", "at", F.when(sure, F.col("family")).otherwise("unknown").alias("family"), "p",
+                     (sure | (F.col("p") >= STRICT)).alias("is")).where("is").drop("is")
+             .dropDuplicates(["doc_id", "t", "at"]))      # rows that repeat a document are that document
     by_doc = materialize(found.groupBy("doc_id", "t").agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_set("family")), ",").alias("licenses"),
         F.max("p").alias("confidence")), "licences").withColumnRenamed("doc_id", "d")
