@@ -7,8 +7,9 @@
 
 A NULL element never matches anything, so an array holding NULL is not
 contained by any probe. A NULL array gives NULL (a WHERE clause drops it).
-All are built-in higher-order functions: they stay inside whole-stage codegen
-and need no Python.
+Probes given as Python lists become one ``array_contains`` per element (or one
+``array_except``), which are compiled with the rest of the stage; a probe that is itself a
+column needs a lambda, which Spark interprets.
 """
 
 from __future__ import annotations
@@ -35,13 +36,21 @@ def _member(arr: Column, x: Column) -> Column:
 
 
 def contains_all(a: Column, b) -> Column:
-    b = _as_array(b)
+    if not isinstance(b, Column):
+        found = F.lit(True)
+        for v in b:
+            found = found & (F.coalesce(F.array_contains(a, F.lit(v)), F.lit(False)) if v is not None else F.lit(False))
+        return F.when(a.isNotNull(), found)
     return F.when(a.isNull() | b.isNull(), F.lit(None).cast("boolean")).otherwise(
         F.forall(b, lambda x: _member(a, x)))
 
 
 def contained_by(a: Column, b) -> Column:
-    return contains_all(_as_array(b), a)
+    if not isinstance(b, Column):
+        known = [v for v in b if v is not None]     # a NULL element is contained by no probe
+        rest = F.array_except(a, literal(known)) if known else a
+        return F.when(a.isNotNull(), F.size(rest) == 0)
+    return contains_all(b, a)
 
 
 def set_equal(a: Column, b) -> Column:
@@ -62,8 +71,3 @@ def cardinality(a: Column) -> Column:
     session runs with ANSI mode off, where ``size(NULL)`` is -1)."""
     return F.when(a.isNotNull(), F.size(a)).cast("bigint")
 
-
-def words(text: Column, sep: str = " ") -> Column:
-    """Split a text into an array on a literal separator (regex-escaped)."""
-    import re
-    return F.split(text, re.escape(sep))

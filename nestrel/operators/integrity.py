@@ -51,6 +51,38 @@ def cascade_delete(child: DataFrame, fk: str, deleted_parent_keys: DataFrame, pk
     return child.join(gone, fk, "left_anti")
 
 
+def cascade_along(tables: dict[str, DataFrame], foreign_keys: Sequence[tuple[str, str, str, str]], root: str,
+                  deleted: DataFrame) -> dict[str, DataFrame]:
+    """Tables that lose rows when the rows ``deleted`` of ``root`` go, as they are after it.
+
+    ``foreign_keys`` are ``(child, column, parent, key)`` without cycles. A child row goes
+    with any of its parents, and its own children with it; NULL references stay.
+    """
+    order, lost, kept = [root], {root: deleted}, {}
+    reached = {root}
+    while True:
+        more = {c for c, _, p, _ in foreign_keys if p in reached} - reached
+        if not more:
+            break
+        reached |= more
+    while len(order) < len(reached):            # parents first
+        free = [t for t in sorted(reached - set(order))
+                if all(p in order or p not in reached for c, _, p, _ in foreign_keys if c == t)]
+        if not free:
+            raise ValueError("the foreign keys form a cycle")
+        order += free
+    for t in order[1:]:
+        refs = [(fk, p, pk) for c, fk, p, pk in foreign_keys if c == t and p in lost]
+        gone, left = None, tables[t]
+        for fk, p, pk in refs:
+            keys = lost[p].select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
+            some = left.join(keys, fk, "left_semi")     # of the rows that are still there
+            gone = some if gone is None else gone.unionByName(some)
+            left = left.join(keys, fk, "left_anti")
+        lost[t], kept[t] = gone, left
+    return kept
+
+
 def domain_violations(df: DataFrame, keys: Sequence[str], rules: dict[str, dict]) -> DataFrame:
     """Rows breaking ``NOT NULL`` / ``VARCHAR(n)`` rules.
 

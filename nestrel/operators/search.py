@@ -84,9 +84,11 @@ def contains_all_via_index(index: DataFrame, docs: DataFrame, id_col: str, probe
 
 def search_count(matched: DataFrame, related: DataFrame, key: str, related_key: str,
                  keep: list[str], count_col: str = "ct") -> DataFrame:
-    """Search hits left-joined to a related table, ``count(*)`` per hit."""
+    """Search hits left-joined to a related table, ``count(*)`` per hit. The related rows are
+    reduced to those of the hits before they are counted."""
     from nestrel.operators.relate import left_join_count
-    return left_join_count(matched, related, key, related_key, keep, count_col, count_rows=True)
+    hits = matched.select(F.col(key).alias(related_key))
+    return left_join_count(matched, related.join(hits, related_key, "left_semi"), key, related_key, keep, count_col, count_rows=True)
 
 
 def write_index(index: DataFrame, path: str, term_col: str = "term",

@@ -48,32 +48,29 @@ def all_names(root: Column, depth: int, child_key: str = "evolves_to",
     return concat_arrays(*[level(root, d, child_key, name_path) for d in range(1, depth + 1)])
 
 
-def family_by_name(trees: DataFrame, family_col: str, names: Column,
-                   name_col: str = "name", wanted: DataFrame | None = None,
-                   aggregate_first: bool = True) -> DataFrame:
+def family_by_name(trees: DataFrame, family_col: str, names: Column, name_col: str = "name") -> DataFrame:
     """``(name, family)`` with one row per name: the smallest family id whose
     tree contains the name.
 
     A name in several trees would multiply an entity row in the left join;
     the explicit dedup makes the lookup one-to-one. ``min`` aggregates
-    partially, so a name shared by a third of the trees is cheap.
-
-    ``wanted`` (a DataFrame with ``name_col``) restricts the result to names
-    that can be joined at all. By default the aggregation runs first: its
-    partial ``min`` collapses a name held by a third of the trees map-side,
-    and the semi join then sees one row per name on both sides (no skew).
-    ``aggregate_first=False`` semi-joins first, which ships fewer names when
-    most tree names are unwanted, but a hot name then reaches one task.
+    partially, so a name shared by a third of the trees is cheap. ``names`` are those of
+    the levels a schema declares; ``family_of_any_depth`` needs no schema.
     """
-    exploded = (trees.select(F.col(family_col).alias("__fam"), F.explode(names).alias(name_col))
-                     .where(F.col(name_col).isNotNull()))
-    if wanted is not None and not aggregate_first:
-        exploded = exploded.join(wanted.select(name_col).where(F.col(name_col).isNotNull()),
-                                 name_col, "left_semi")
-    fam = exploded.groupBy(name_col).agg(F.min("__fam").alias(family_col))
-    if wanted is not None and aggregate_first:
-        fam = fam.join(wanted.select(name_col).distinct(), name_col, "left_semi")
-    return fam
+    return _smallest(trees.select(F.col(family_col).alias("__fam"), F.explode(names).alias(name_col)),
+                     family_col, name_col)
+
+
+def family_of_any_depth(docs: DataFrame, family_col: str, name_col: str = "name", **walk_options) -> DataFrame:
+    """``family_by_name`` over ``(id, body)`` documents whose trees may be of any depth."""
+    nodes = walk(docs, **walk_options)
+    return _smallest(nodes.select(F.col(nodes.columns[0]).alias("__fam"), F.col("name").alias(name_col)),
+                     family_col, name_col)
+
+
+def _smallest(named: DataFrame, family_col: str, name_col: str) -> DataFrame:
+    return (named.where(F.col(name_col).isNotNull())
+                 .groupBy(name_col).agg(F.min("__fam").alias(family_col)))
 
 
 def walk(docs: DataFrame, family_col: str = "id", body_col: str = "body", root_path: str = "$.chain",
@@ -84,16 +81,20 @@ def walk(docs: DataFrame, family_col: str = "id", body_col: str = "body", root_p
     CTE, one level per iteration (each iteration is a distributed join of the
     frontier with its children), so no maximum depth has to be declared and
     the parent edge - lost by a flat family id - is kept.
+
+    ``LIMIT ALL`` lifts Spark's limit on the rows of a recursive query. Trees deeper than
+    ``spark.sql.cteRecursionLevelLimit`` raise an error; none is cut. A body that is no
+    JSON has no nodes.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(family_col).alias("fam"), F.col(body_col).alias("body"))
     return spark.sql(f"""
         WITH RECURSIVE nodes(fam, lvl, parent, node) AS (
-          SELECT fam, 1, CAST(NULL AS STRING), variant_get(parse_json(body), '{root_path}') FROM {{src}}
+          SELECT fam, 1, CAST(NULL AS STRING), variant_get(try_parse_json(body), '{root_path}') FROM {{src}}
           UNION ALL
           SELECT n.fam, n.lvl + 1, variant_get(n.node, '{name_path}', 'string'), c.value
           FROM nodes AS n, LATERAL variant_explode(variant_get(n.node, '$.{child_key}')) AS c
         )
         SELECT fam AS {family_col}, CAST(lvl AS BIGINT) AS level, parent,
                variant_get(node, '{name_path}', 'string') AS name
-        FROM nodes WHERE node IS NOT NULL""", src=src)
+        FROM nodes WHERE node IS NOT NULL LIMIT ALL""", src=src)

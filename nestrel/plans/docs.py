@@ -183,6 +183,49 @@ def described_docs(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
 
 
+# ---------------------------------------------------------------- listings, links, moves
+def _part_words():
+    return F.split(F.col("p_name"), " ")
+
+
+def listing_docs(part: DataFrame) -> DataFrame:
+    """``(id, body)`` listing pages, one per part: its words, each with a URL that ends in
+    ten times the part's key plus the word's place."""
+    results = F.transform(_part_words(), lambda w, i: F.struct(
+        w.alias("name"),
+        F.concat(F.lit(API + "type/"), (F.col("p_partkey") * 10 + i).cast("string"), F.lit("/")).alias("url")))
+    return part.select(F.col("p_partkey").alias("id"), to_json_doc(F.struct(results.alias("results"))).alias("body"))
+
+
+def link_docs(part: DataFrame) -> DataFrame:
+    """``(id, body)`` entities whose ``moves`` link every word twice, by its length; words of
+    odd length have an entry without a URL."""
+    moves = F.transform(F.concat(_part_words(), _part_words()), lambda w: F.struct(F.struct(
+        F.when(F.length(w) % 2 == 0, F.concat(F.lit(API + "move/"), F.length(w).cast("string"), F.lit("/")))
+        .alias("url")).alias("move")))
+    body = F.struct(F.col("p_partkey").alias("id"), moves.alias("moves"))
+    return part.select(F.col("p_partkey").alias("id"), to_json_doc(body, keep_nulls=False).alias("body"))
+
+
+def move_docs(part: DataFrame) -> DataFrame:
+    """``(id, body)`` moves, one per part: power, accuracy and the type's URL are JSON
+    ``null`` for some sizes; even sizes have an English flavour text of several lines,
+    all have an English effect text with double blanks."""
+    size, english = F.col("p_size"), F.struct(F.lit("en").alias("name")).alias("language")
+    brand = F.replace(F.col("p_brand"), F.lit("#"), F.lit("\n"))
+    other = F.when(size % 2 == 0, F.lit("en")).otherwise(F.lit("fr"))
+    body = F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), size.alias("pp"),
+        F.when(size % 2 == 0, F.col("p_retailprice")).alias("power"),
+        F.when(size % 3 == 0, size).alias("accuracy"),
+        F.struct(F.when(size % 5 > 0, F.concat(F.lit(API + "type/"), size.cast("string"), F.lit("/")))
+                 .alias("url")).alias("type"),
+        F.array(F.struct(F.replace(F.col("p_name"), F.lit(" "), F.lit("  ")).alias("effect"), english)).alias("effect_entries"),
+        F.array(F.struct(brand.alias("flavor_text"), F.struct(other.alias("name")).alias("language")))
+        .alias("flavor_text_entries"))
+    return part.select(F.col("p_partkey").alias("id"), to_json_doc(body).alias("body"))
+
+
 # ---------------------------------------------------------------- responses
 def responses(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Landed HTTP responses: an ``error`` event plays a failed (404) fetch.

@@ -9,8 +9,11 @@ Mirrors the workload's load script as Spark jobs:
    (fetching is the caller's business); -> ``moves``, ``abilities``;
 4. every table is written with a full overwrite, range-clustered and sorted by
    key (the sorted load), so key lookups skip files by min/max statistics;
-5. integrity checks (unique keys, foreign keys) run on the written tables
-   before anything is published; ``drop_staging`` removes staged sources.
+5. malformed documents go to ``quarantine`` with the name of their source, and the
+   report counts them;
+6. integrity checks (unique keys and names, foreign keys, lengths) run on the written
+   tables: the caller publishes ``out_dir`` only if they hold, so give each rebuild a new
+   folder. ``keep_staging=False`` removes the staged sources.
 
 No step collects data to the driver; the verdicts are small counts.
 """
@@ -21,7 +24,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from nestrel.functions import jsonpath as J
 from nestrel.functions import text as X
 from nestrel.operators import integrity as I
 from nestrel.plans import pipelines as P
@@ -43,9 +48,10 @@ FOREIGN = [
 
 
 def build_wave1(entity: DataFrame, texts: DataFrame, trees: DataFrame, listing: DataFrame,
-                tree_depth: int = 4) -> dict[str, DataFrame]:
+                tree_depth: int | None = None) -> dict[str, DataFrame]:
+    """Trees are read whatever their depth, unless ``tree_depth`` declares one."""
     return {
-        "pokedex": P.entity_table(entity, SH.ENTITY, trees, SH.tree(tree_depth), tree_depth,
+        "pokedex": P.entity_table(entity, SH.ENTITY, trees, SH.tree(tree_depth) if tree_depth else None, tree_depth,
                                   texts, SH.TEXTS),
         "types": P.lookup_table(listing, SH.LISTING),
         "pokemon_moves": P.bridge_table(entity, SH.ENTITY, "moves", "move.url", "move_id"),
@@ -69,6 +75,8 @@ def check(spark: SparkSession, out_dir: str) -> DataFrame:
     tab = {n: spark.read.parquet(f"{out_dir}/{n}") for n in KEYS}
     parts = [I.unique_violations(tab[n], k, primary=True).agg(F.count(F.lit(1)).alias("violations"))
              .select(F.lit(f"pk:{n}").alias("rule"), "violations") for n, k in KEYS.items()]
+    parts += [I.unique_violations(tab[n], ["name"]).agg(F.count(F.lit(1)).alias("violations"))
+              .select(F.lit(f"unique:{n}.name").alias("rule"), "violations") for n in NAME_LENGTH]
     parts += [I.fk_orphan_count(tab[c], fk, tab[p], pk).select(F.lit(f"fk:{c}.{fk}").alias("rule"),
                                                                F.col("orphans").alias("violations"))
               for c, fk, p, pk in FOREIGN]
@@ -82,6 +90,16 @@ def check(spark: SparkSession, out_dir: str) -> DataFrame:
     return out
 
 
+def malformed(sources: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
+    """``(source, id, body)`` of the documents that are not JSON of their schema."""
+    bad = [J.split_valid(df, schema)[1].select(F.lit(name).alias("source"), F.col("id").cast("string").alias("id"), "body")
+           for name, (df, schema) in sources.items()]
+    out = bad[0]
+    for b in bad[1:]:
+        out = out.unionByName(b)
+    return out
+
+
 def run(spark: SparkSession, staged: dict[str, DataFrame], fetch: Callable[[str, DataFrame], DataFrame],
         out_dir: str, keep_staging: bool = True, staging_tables: list[str] | None = None) -> DataFrame:
     """Rebuild every table under ``out_dir``; returns the integrity report."""
@@ -95,7 +113,14 @@ def run(spark: SparkSession, staged: dict[str, DataFrame], fetch: Callable[[str,
     abilities = fetch("ability", L.pending_keys(pa, "ability_id", alias="id"))
     for name, df in build_wave2(moves, abilities).items():
         L.rebuild(df, f"{out_dir}/{name}", sort_cols=KEYS[name], cluster=True)
+    own_id = T.StructType([T.StructField("id", T.IntegerType())])
+    sources = {"entity": (staged["entity"], SH.ENTITY), "texts": (staged["texts"], SH.TEXTS),
+               "trees": (staged["trees"], own_id), "listing": (staged["listing"], SH.LISTING),
+               "move": (moves, SH.MOVES), "ability": (abilities, SH.ABILITIES)}
+    malformed(sources).write.mode("overwrite").parquet(f"{out_dir}/quarantine")
+    held = spark.read.parquet(f"{out_dir}/quarantine").agg(F.count(F.lit(1)).alias("violations")) \
+        .select(F.lit("malformed documents").alias("rule"), "violations")
     if not keep_staging:
         for t in staging_tables or []:
             L.drop_table(spark, t)
-    return check(spark, out_dir)
+    return check(spark, out_dir).unionByName(held)

@@ -31,21 +31,27 @@ STAT_NAMES = ["hp", "attack", "defense", "s_attack", "s_defense", "speed"]
 
 
 def entity_table(entity_docs: DataFrame, entity_schema: T.StructType,
-                 tree_docs: DataFrame, tree_schema: T.StructType, tree_depth: int,
+                 tree_docs: DataFrame, tree_schema: T.StructType | None, tree_depth: int | None,
                  text_docs: DataFrame | None, text_schema: T.StructType | None,
                  lang: str = "en", child_key: str = "evolves_to",
                  height: str = "height", weight: str = "weight") -> DataFrame:
-    # malformed documents are left out here; ``jsonpath.split_valid`` returns them
+    """One row per entity document. With a ``tree_depth`` the trees are read with the schema
+    of that depth; without, whatever their depth. Malformed entity documents are left out:
+    ``jsonpath.split_valid`` returns them, ``etl.run`` writes them to its quarantine."""
     ent = J.split_valid(entity_docs, entity_schema)[0].select("j.*").drop(J.CORRUPT)
     stats = [J.index(F.col("stats"), i).base_stat.alias(n) for i, n in enumerate(STAT_NAMES)]
     pd = ent.select(F.col("id"), J.field(F.col("species"), "name").alias("name"),
                     F.col(height).alias("height"), F.col(weight).alias("weight"), *stats,
                     J.path_array(F.col("types"), "type.name").alias("type"))
 
-    trees = tree_docs.select(J.parse(F.col("body"), tree_schema).alias("j")) \
-        .select(F.col("j.id").alias("evo_set"), F.col("j.chain").alias("chain"))
-    fam = TR.family_by_name(trees, "evo_set", TR.all_names(F.col("chain"), tree_depth, child_key),
-                            wanted=pd.select("name"))
+    if tree_depth is None:
+        own = T.StructType([T.StructField("id", ent.schema["id"].dataType)])
+        fam = TR.family_of_any_depth(tree_docs.select(J.parse(F.col("body"), own).id.alias("id"), "body"),
+                                     "evo_set", child_key=child_key)
+    else:
+        trees = tree_docs.select(J.parse(F.col("body"), tree_schema).alias("j")) \
+            .select(F.col("j.id").alias("evo_set"), F.col("j.chain").alias("chain"))
+        fam = TR.family_by_name(trees, "evo_set", TR.all_names(F.col("chain"), tree_depth, child_key))
     out = pd.join(fam, "name", "left")
 
     if text_docs is not None:
@@ -94,12 +100,14 @@ def lookup_table(listing_docs: DataFrame, schema: T.StructType) -> DataFrame:
 
 def bridge_table(entity_docs: DataFrame, schema: T.StructType, array_field: str, url_path: str,
                  right_key: str, distinct: bool = False, left_key: str = "poke_id") -> DataFrame:
-    """Entity -> ``(left_key, right_key)`` pairs from the ids in an array of URLs.
+    """Entity -> ``(left_key, right_key)`` pairs from the ids in an array of URLs. An entry
+    without a URL gives no pair; a URL without an id gives a NULL ``right_key``.
 
     ``distinct`` de-duplicates pairs (sources that list an item twice)."""
     j = entity_docs.select(J.parse(F.col("body"), schema).alias("j"))
     urls = J.path_array(F.col(f"j.{array_field}"), url_path)
     out = j.select(F.col("j.id").alias(left_key), F.explode(urls).alias("__u")) \
+        .where(F.col("__u").isNotNull()) \
         .select(left_key, X.url_id(F.col("__u"), X.URL_ID_STRICT).alias(right_key))
     return out.dropDuplicates([left_key, right_key]) if distinct else out
 
@@ -109,9 +117,10 @@ def described_table(docs: DataFrame, schema: T.StructType, columns: list, lang:
     (cleaned of line/form feeds), else the first ``lang`` effect text (cleaned
     of double line feeds, line feeds, form feeds and double spaces).
 
-    All in-row: no window, no join back, no shuffle.
+    All in-row: no window, no join back, no shuffle. Malformed documents give no row
+    (``jsonpath.split_valid`` returns them).
     """
-    j = docs.select(J.parse(F.col("body"), schema).alias("j")).select("j.*")
+    j = J.split_valid(docs, schema)[0].select("j.*").drop(J.CORRUPT)
 
     def first(field, text_field):
         return E.first_in_array(F.col(field), lambda e: e.language.getField("name") == F.lit(lang),
