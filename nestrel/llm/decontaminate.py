@@ -4,10 +4,11 @@ Texts are read as tokens (runs of anything but white space, without ASCII punctu
 A-Z in lower case). A token with a digit, a unit and a name become typed placeholders;
 their values are the *slots*. Names are capitalised words that do not begin a sentence
 or line. Windows of ``window`` template tokens are hash-joined with those of the benchmark
-items; so a question is also found with other numbers, names or units in it. A match on
-one alignment counts if its slots are consistent: every value of the item stands for one
-value in the document throughout. A document leaks an item if the consistent matches
-cover at least ``percent`` of the item's windows.
+items; so a question is also found with other numbers, names or units in it. Windows with
+the item's own values count. Of the others on one alignment those count whose slots are
+consistent: a value of the item stands for one value in the document, that which it stands
+for most often. A document leaks an item if the matches cover at least ``percent`` of the
+item's windows.
 
 A task keeps only windows that pass a bitmap of the benchmark's window hashes. The
 bitmap has a fixed largest size; beyond what it can tell apart it lets more windows
@@ -182,12 +183,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
         .select("doc_id", "item_id", "item_pos", (F.col("doc_pos") - F.col("item_pos")).alias("shift"),
                 F.arrays_zip("item_slots", "slots").alias("pairs")), "matches")
     key = ["doc_id", "item_id", "shift"]
-    torn = (match.select(*key, F.explode("pairs").alias("p")).select(*key, "p.item_slots", "p.slots").distinct()
-            .groupBy(*key, "item_slots").agg(F.count(F.lit(1)).alias("values")).where("values > 1")
-            .select(*key).distinct())
+    pair = match.select(*key, "item_pos", F.explode("pairs").alias("p")).select(*key, "item_pos", "p.item_slots", "p.slots")
+    votes = pair.groupBy(*key, "item_slots", "slots").agg(F.count(F.lit(1)).alias("n"))
+    # what a torn value stands for: most often, then for itself
+    stands = (votes.groupBy(*key, "item_slots")
+              .agg(F.count(F.lit(1)).alias("values"),
+                   F.max(F.struct("n", F.expr("item_slots = slots").alias("own"), "slots"))["slots"].alias("stands_for"))
+              .where("values > 1").drop("values"))
+    torn = pair.join(stands, [*key, "item_slots"]).where("slots != stands_for").select(*key, "item_pos").distinct()
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    good = (match.join(torn, key, "left_anti").groupBy("doc_id", "item_id")
-            .agg(F.countDistinct("item_pos").alias("matched"), F.min(same).alias("same_values")))
+    match = match.withColumn("same", same)
+    good = match.where("same").unionByName(match.where("NOT same").join(torn, [*key, "item_pos"], "left_anti"))
+    good = good.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("matched"),
+                                                 F.min("same").alias("same_values"))
     return (good.join(total, "item_id").where(F.col("matched") * 100 >= F.col("n_windows") * percent)
             .select("doc_id", "item_id", "matched", "n_windows", "same_values"))
 

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from nestrel.llm import packing
+from nestrel.llm import decontaminate, packing
 
 
 def test_packing_of_added_tokens_and_long_white_space(spark):
@@ -22,3 +22,22 @@ def test_packing_of_added_tokens_and_long_white_space(spark):
             assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
             at += r.length
         assert at == len(ids)
+
+
+LONG_ITEM = ("A wagon with 14 barrels leaves the old harbour near Lisbon before dawn and the road from Lisbon to the "
+             "market is 90 km long so how many barrels arrive when every second barrel is lost")
+
+
+def found(spark, items, texts, **options):
+    """Numbers of the texts that leak one of the items."""
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id for r in decontaminate.leaks(docs, bench, **options).collect()}
+
+
+def test_leaks_count_the_other_windows_of_torn_alignments(spark):
+    other = LONG_ITEM.replace("14", "33").replace("Lisbon", "Porto").replace("90", "75")
+    texts = [LONG_ITEM.replace("near Lisbon", "near Porto"),            # one of two equal names changed
+             "so we say " + other.replace("near Porto", "near Faro"),   # other values, one of them torn
+             " ".join(LONG_ITEM.split()[::-1])]
+    assert found(spark, [LONG_ITEM], texts) == {0, 1}
