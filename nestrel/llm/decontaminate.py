@@ -2,13 +2,13 @@
 
 Texts are read as tokens (runs of anything but white space, without ASCII punctuation,
 A-Z in lower case). A token with a digit, a unit and a name become typed placeholders;
-their values are the *slots*. Names are capitalised words that do not begin a sentence
-or line. Windows of ``window`` template tokens are hash-joined with those of the benchmark
-items; so a question is also found with other numbers, names or units in it. Windows with
-the item's own values count. Of the others on one alignment those count whose slots are
-consistent: a value of the item stands for one value in the document, that which it stands
-for most often. A document leaks an item if the matches cover at least ``percent`` of the
-item's windows.
+their values are the *slots*. Windows of ``window`` tokens are hash-joined with those of
+the benchmark items, once with the tokens as they are (EXACT) and once as templates
+(TYPED: names are capitalised words that do not begin a sentence or line); so a question is
+also found with other numbers, names or units in it. Windows with the item's own values
+count. Of the others on one alignment those count whose slots are consistent: a value of the
+item stands for one value in the document, that which it stands for most often. A document
+leaks an item if the matches cover at least ``percent`` of the item's windows.
 
 A task keeps only windows that pass a bitmap of the benchmark's window hashes. The
 bitmap has a fixed largest size; beyond what it can tell apart it lets more windows
@@ -18,10 +18,11 @@ pass to the join, which is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestrel.llm.common import materialize
@@ -35,6 +36,7 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram
          "degree degrees watt watts kw kwh mph kmh hz mhz ghz kb mb gb tb meter meters metre metres kilometer "
          "kilometers kilometre kilometres").split()
 NUM, UNIT, NAME = 1, 2, 3                         # placeholder types; 0: a word as it is
+EXACT, TYPED = 0, 1                               # lookups
 MAX_BITS = 1 << 27
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -111,16 +113,19 @@ def windows(value: np.ndarray, types: np.ndarray, owner: np.ndarray, n: int, lit
 
 
 def _window_rows(df: DataFrame, n_of, literals: int, bitmap, names: tuple[str, str]) -> DataFrame:
-    """(id, position, n, hash, slots) of all windows, or those whose hash is in the bitmap."""
+    """(id, position, n, look, hash, slots) of all windows of each lookup, or those whose hash
+    is in the bitmap. EXACT ones have no slots and need no words."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value if bitmap is not None else None
         for batch in batches:
             for ids, texts in parts(batch.column(0), batch.column(1)):
                 value, types, owner = templates(texts)
                 offset = np.searchsorted(owner, np.arange(len(texts)))
-                for n in n_of(owner, len(texts)):
+                looks = ((EXACT, np.zeros_like(types), 0), (TYPED, types, literals))
+                for n, (look, kinds, least) in product(n_of(owner, len(texts)), looks):
                     length, only = n if isinstance(n, tuple) else (n, None)
-                    at, h = windows(value, types, owner, length, min(literals, length))
+                    at, h = windows(value, kinds, owner, length, min(least, length))
+                    h = mix(h + np.uint64(look))
                     if only is not None and len(at):
                         some = only[owner[at]]
                         at, h = at[some], h[some]
@@ -130,13 +135,14 @@ def _window_rows(df: DataFrame, n_of, literals: int, bitmap, names: tuple[str, s
                         at, h = at[hit], h[hit]
                     if not len(at):
                         continue
-                    slots = [[int(v) for v in value[a:a + length][types[a:a + length] > 0].view(np.int64)] for a in at]
+                    slots = [[int(v) for v in value[a:a + length][kinds[a:a + length] > 0].view(np.int64)] for a in at]
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(owner[at])), pa.array(at - offset[owner[at]]),
-                         pa.array(np.full(len(at), length)), pa.array(h.view(np.int64)),
-                         pa.array(slots, pa.list_(pa.int64()))], names=[*names, "n", "hash", "slots"])
+                         pa.array(np.full(len(at), length)), pa.array(np.full(len(at), look)),
+                         pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
+                        names=[*names, "n", "look", "hash", "slots"])
 
-    return df.mapInArrow(task, f"{names[0]} long, {names[1]} long, n long, hash long, slots array<long>")
+    return df.mapInArrow(task, f"{names[0]} long, {names[1]} long, n long, look long, hash long, slots array<long>")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, percent: int = 50,
@@ -145,8 +151,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     """(doc_id, item_id, matched, n_windows, same_values): the items that documents leak.
 
     An item shorter than ``window`` tokens is one window of all its tokens. Windows with
-    fewer than ``literals`` words (or all words of a shorter window) are not looked up; an
-    item without any, and null or empty texts, leak nothing. Rows of one id are one
+    fewer than ``literals`` words (or all words of a shorter window) are found with their own
+    values only; ``n_windows`` are all of the item's windows or those with enough words,
+    whichever ``matched`` covers more of. Null or empty texts leak nothing. Rows of one id are one
     document (or item). Rows with null ids are left out here. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -160,8 +167,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
             if (size == n).any():
                 yield n, size == n
 
-    item = materialize(_window_rows(items, of_items, literals, None, ("item_id", "item_pos")), "items")
-    total = item.groupBy("item_id").agg(F.countDistinct("item_pos").alias("n_windows"))
+    item = materialize(
+        _window_rows(items, of_items, literals, None, ("item_id", "item_pos"))
+        .withColumn("typed", F.max(F.col("look") == TYPED).over(Window.partitionBy("item_id", "item_pos"))), "items")
+    total = item.groupBy("item_id").agg(
+        F.countDistinct("item_pos").alias("n_windows"),
+        F.countDistinct(F.expr("CASE WHEN typed THEN item_pos END")).alias("typed_windows"))
     lengths = sorted(r[0] for r in item.select("n").distinct().collect())        # at most ``window``
     count = item.count()
     bits = min(MAX_BITS, max(1 << 16, 1 << (1024 * count).bit_length()))
@@ -178,11 +189,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
                                                           F.col(text_col).alias("text"))
     found = _window_rows(source, lambda *_: lengths, literals, shared, ("doc_id", "doc_pos"))
     match = materialize(
-        found.join(item.withColumnRenamed("slots", "item_slots"), ["hash", "n"])
+        found.join(item.withColumnRenamed("slots", "item_slots"), ["hash", "n", "look"])
         .where(F.size("slots") == F.size("item_slots"))
-        .select("doc_id", "item_id", "item_pos", (F.col("doc_pos") - F.col("item_pos")).alias("shift"),
+        .select("doc_id", "item_id", "item_pos", "look", "typed", (F.col("doc_pos") - F.col("item_pos")).alias("shift"),
                 F.arrays_zip("item_slots", "slots").alias("pairs")), "matches")
-    key = ["doc_id", "item_id", "shift"]
+    key = ["doc_id", "item_id", "shift", "look"]
     pair = match.select(*key, "item_pos", F.explode("pairs").alias("p")).select(*key, "item_pos", "p.item_slots", "p.slots")
     votes = pair.groupBy(*key, "item_slots", "slots").agg(F.count(F.lit(1)).alias("n"))
     # what a torn value stands for: most often, then for itself
@@ -194,10 +205,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     match = match.withColumn("same", same)
     good = match.where("same").unionByName(match.where("NOT same").join(torn, [*key, "item_pos"], "left_anti"))
-    good = good.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("matched"),
-                                                 F.min("same").alias("same_values"))
-    return (good.join(total, "item_id").where(F.col("matched") * 100 >= F.col("n_windows") * percent)
-            .select("doc_id", "item_id", "matched", "n_windows", "same_values"))
+    good = good.groupBy("doc_id", "item_id").agg(
+        F.countDistinct("item_pos").alias("matched"), F.countDistinct(F.expr("CASE WHEN typed THEN item_pos END"))
+        .alias("typed_matched"), F.min("same").alias("same_values"))
+    # of all windows and of those that can be found as templates, whichever share is greater
+    by_typed = F.expr("typed_windows > 0 AND typed_matched * n_windows >= matched * typed_windows")
+    return (good.join(total, "item_id")
+            .select("doc_id", "item_id", F.when(by_typed, F.col("typed_matched")).otherwise(F.col("matched")).alias("matched"),
+                    F.when(by_typed, F.col("typed_windows")).otherwise(F.col("n_windows")).alias("n_windows"), "same_values")
+            .where(F.col("matched") * 100 >= F.col("n_windows") * percent))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

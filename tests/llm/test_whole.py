@@ -41,3 +41,11 @@ def test_leaks_count_the_other_windows_of_torn_alignments(spark):
              "so we say " + other.replace("near Porto", "near Faro"),   # other values, one of them torn
              " ".join(LONG_ITEM.split()[::-1])]
     assert found(spark, [LONG_ITEM], texts) == {0, 1}
+
+
+def test_leaks_of_windows_with_few_words(spark):
+    items = ["Compute 12 + 30 - 7.", "3 km 4 kg 5 ml 6 mm 7 cm of", "17"]
+    texts = ["They asked: compute 12 + 30 - 7. Nothing else", "compute 12 + 30 - 8",
+             "then 3 km 4 kg 5 ml 6 mm 7 cm of rope", "then 3 km 4 kg 5 ml 6 mm 7 cm and 2 mm of rope", "about 17", "about 18"]
+    got = found(spark, items, texts)
+    assert {0, 2, 4} <= got and not got & {1, 5}
