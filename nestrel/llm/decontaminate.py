@@ -3,9 +3,10 @@
 Texts are read as tokens (runs of anything but white space, without ASCII punctuation,
 A-Z in lower case). A token with a digit, a unit and a name become typed placeholders;
 their values are the *slots*. Windows of ``window`` tokens are hash-joined with those of
-the benchmark items, once with the tokens as they are (EXACT) and once as templates
-(TYPED: names are capitalised words that do not begin a sentence or line); so a question is
-also found with other numbers, names or units in it. Windows with the item's own values
+the benchmark items, once with the tokens as they are (EXACT) and twice as templates (TYPED:
+names are capitalised words that do not begin a sentence or line; CAPITAL: all capitalised
+words, wherever they stand); so a question is also found with other numbers, names or units
+in it, and in other lines or letter case. Windows with the item's own values
 count. Of the others on one alignment those count whose slots are consistent: a value of the
 item stands for one value in the document, that which it stands for most often. A document
 leaks an item if the matches cover at least ``percent`` of the item's windows.
@@ -36,7 +37,7 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram
          "degree degrees watt watts kw kwh mph kmh hz mhz ghz kb mb gb tb meter meters metre metres kilometer "
          "kilometers kilometre kilometres").split()
 NUM, UNIT, NAME = 1, 2, 3                         # placeholder types; 0: a word as it is
-EXACT, TYPED = 0, 1                               # lookups
+EXACT, TYPED, CAPITAL = 0, 1, 2                   # lookups
 MAX_BITS = 1 << 27
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -63,8 +64,9 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(_hash_runs(raw, np.concatenate(([0], ends[:-1])), ends))
 
 
-def templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all tokens of the texts in order: value hash, placeholder type, text number."""
+def templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all tokens of the texts in order: value hash, placeholder type, the type if every
+    capitalised word is a name, text number."""
     raw = np.frombuffer(b"\n".join((t or "").encode("utf-8", "replace") for t in texts) + b"\n", dtype=np.uint8)
     lengths = np.array([len((t or "").encode("utf-8", "replace")) + 1 for t in texts])
     kind = _kind[raw]
@@ -74,7 +76,7 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     word = np.cumsum(space | np.concatenate(([False], space[:-1])))
     kept = np.flatnonzero(keep & ~space)
     if not len(kept):
-        return np.empty(0, np.uint64), np.empty(0, np.uint8), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint8), np.empty(0, np.uint8), np.empty(0, np.int64)
     w = word[kept]
     first = np.concatenate(([0], np.flatnonzero(np.diff(w)) + 1))
     last = np.concatenate((first[1:], [len(w)]))
@@ -94,7 +96,7 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     at = np.minimum(np.searchsorted(units, value), len(units) - 1)
     types[units[at] == value] = UNIT
     types[digit] = NUM
-    return value, types, owner
+    return value, types, np.where(upper & (types == 0), np.uint8(NAME), types), owner
 
 
 def windows(value: np.ndarray, types: np.ndarray, owner: np.ndarray, n: int, literals: int):
@@ -119,9 +121,9 @@ def _window_rows(df: DataFrame, n_of, literals: int, bitmap, names: tuple[str, s
         bits = bitmap.value if bitmap is not None else None
         for batch in batches:
             for ids, texts in parts(batch.column(0), batch.column(1)):
-                value, types, owner = templates(texts)
+                value, types, capital, owner = templates(texts)
                 offset = np.searchsorted(owner, np.arange(len(texts)))
-                looks = ((EXACT, np.zeros_like(types), 0), (TYPED, types, literals))
+                looks = ((EXACT, np.zeros_like(types), 0), (TYPED, types, literals), (CAPITAL, capital, literals))
                 for n, (look, kinds, least) in product(n_of(owner, len(texts)), looks):
                     length, only = n if isinstance(n, tuple) else (n, None)
                     at, h = windows(value, kinds, owner, length, min(least, length))

@@ -49,3 +49,13 @@ def test_leaks_of_windows_with_few_words(spark):
              "then 3 km 4 kg 5 ml 6 mm 7 cm of rope", "then 3 km 4 kg 5 ml 6 mm 7 cm and 2 mm of rope", "about 17", "about 18"]
     got = found(spark, items, texts)
     assert {0, 2, 4} <= got and not got & {1, 5}
+
+
+def test_leaks_whatever_begins_a_sentence_or_line(spark):
+    item = "Alice has 3 apples. Bob has 5 pears. Carol has 9 plums."
+    road = "The slow train to Vienna passes Salzburg and then Linz before it stops in Graz for the night"
+    texts = [item.replace("Alice", "Dora").replace("Bob", "Emil").replace("Carol", "Fritz").replace("3", "4"),
+             item.lower(), item.replace(" ", "\n"), road.lower(),
+             "So many say: " + road.replace(" Salzburg", "\nParis").replace("Vienna", "Rome").replace("Linz", "Nice"),
+             "Alice had 3 apples. Bob had 5 pears. Carol had 9 plums."]
+    assert found(spark, [item, road], texts) == {0, 1, 2, 3, 4}
