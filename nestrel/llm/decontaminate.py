@@ -8,8 +8,10 @@ names are capitalised words that do not begin a sentence or line; CAPITAL: all c
 words, wherever they stand); so a question is also found with other numbers, names or units
 in it, and in other lines or letter case. Windows with the item's own values
 count. Of the others on one alignment those count whose slots are consistent: a value of the
-item stands for one value in the document, that which it stands for most often. A document
-leaks an item if the matches cover at least ``percent`` of the item's windows.
+item stands for one value in the document, that which it stands item stands for one value in the document, that which it stands for most often. A document
+leaks an item if the matches cover at least ``percent`` of the item's windows, or ``run``
+consecutive tokens of the item stand in it as they are.
+ if the matches cover at least ``percent`` of the item's windows.
 
 A task keeps only windows that pass a bitmap of the benchmark's window hashes. The
 bitmap has a fixed largest size; beyond what it can tell apart it lets more windows
@@ -147,7 +149,7 @@ def _window_rows(df: DataFrame, n_of, literals: int, bitmap, names: tuple[str, s
     return df.mapInArrow(task, f"{names[0]} long, {names[1]} long, n long, look long, hash long, slots array<long>")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, percent: int = 50,
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, percent: int = 50, run: int = 13,
           id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, matched, n_windows, same_values): the items that documents leak.
@@ -193,7 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     match = materialize(
         found.join(item.withColumnRenamed("slots", "item_slots"), ["hash", "n", "look"])
         .where(F.size("slots") == F.size("item_slots"))
-        .select("doc_id", "item_id", "item_pos", "look", "typed", (F.col("doc_pos") - F.col("item_pos")).alias("shift"),
+        .select("doc_id", "item_id", "item_pos", "n", "look", "typed", (F.col("doc_pos") - F.col("item_pos")).alias("shift"),
                 F.arrays_zip("item_slots", "slots").alias("pairs")), "matches")
     key = ["doc_id", "item_id", "shift", "look"]
     pair = match.select(*key, "item_pos", F.explode("pairs").alias("p")).select(*key, "item_pos", "p.item_slots", "p.slots")
@@ -210,12 +212,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     good = good.groupBy("doc_id", "item_id").agg(
         F.countDistinct("item_pos").alias("matched"), F.countDistinct(F.expr("CASE WHEN typed THEN item_pos END"))
         .alias("typed_matched"), F.min("same").alias("same_values"))
+    # windows at consecutive positions of one alignment are one run of tokens
+    line = Window.partitionBy("doc_id", "item_id", "shift").orderBy("item_pos")
+    longest = (match.where(F.col("look") == EXACT).select("doc_id", "item_id", "shift", "item_pos", "n").distinct()
+               .withColumn("at", F.col("item_pos") - F.row_number().over(line))
+               .groupBy("doc_id", "item_id", "shift", "at").agg((F.count(F.lit(1)) + F.max("n") - 1).alias("tokens"))
+               .groupBy("doc_id", "item_id").agg(F.max("tokens").alias("longest")))
     # of all windows and of those that can be found as templates, whichever share is greater
     by_typed = F.expr("typed_windows > 0 AND typed_matched * n_windows >= matched * typed_windows")
-    return (good.join(total, "item_id")
+    return (good.join(total, "item_id").join(longest, ["doc_id", "item_id"], "left")
             .select("doc_id", "item_id", F.when(by_typed, F.col("typed_matched")).otherwise(F.col("matched")).alias("matched"),
-                    F.when(by_typed, F.col("typed_windows")).otherwise(F.col("n_windows")).alias("n_windows"), "same_values")
-            .where(F.col("matched") * 100 >= F.col("n_windows") * percent))
+                    F.when(by_typed, F.col("typed_windows")).otherwise(F.col("n_windows")).alias("n_windows"), "same_values", "longest")
+            .where((F.col("matched") * 100 >= F.col("n_windows") * percent) | (F.col("longest") >= run)).drop("longest"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

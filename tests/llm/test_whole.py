@@ -59,3 +59,11 @@ def test_leaks_whatever_begins_a_sentence_or_line(spark):
              "So many say: " + road.replace(" Salzburg", "\nParis").replace("Vienna", "Rome").replace("Linz", "Nice"),
              "Alice had 3 apples. Bob had 5 pears. Carol had 9 plums."]
     assert found(spark, [item, road], texts) == {0, 1, 2, 3, 4}
+
+
+def test_leaks_of_a_verbatim_run_below_the_share(spark):
+    words = [f"word{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(60)]
+    texts = [" ".join(["before", *words[20:33], "after"]), " ".join(["before", *words[20:32], "after"]),
+             " ".join([*words[20:31], "gap", *words[31:42]])]
+    assert found(spark, [" ".join(words)], texts) == {0}
+    assert found(spark, [" ".join(words)], texts, run=12) == {0, 1}
