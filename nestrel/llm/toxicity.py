@@ -4,7 +4,8 @@ The lexicon is learned: words of labelled toxic texts whose association with the
 passes a likelihood-ratio test held to the number of words tested. Its trie is
 intersected with the automata of all strings within one edit of each longer term
 (distance 0 for short ones); the subset construction gives one deterministic table
-(state, character) -> state. Tasks run it over all words of a batch at once. Around
+(state, character) -> state. Tasks run it over all words of a batch at once, and over
+words masked by inner punctuation, with it as a letter and without it. Around
 each hit a window of words is scored: quotation marks and words of reporting speak
 for quotation, words of address for abuse. A logistic regression on a text's hits and
 window scores gives the score.
@@ -35,7 +36,8 @@ N_FEATURES = 7
 
 class Automaton:
     """Deterministic automaton of all strings within ``limit(term)`` edits of a term.
-    State 0 is dead, 1 the start; ``accept``: 0 no, 1 within the limit, 2 a term itself."""
+    State 0 is dead, 1 the start; ``accept``: 0 no, 1 within the limit, 2 a term itself;
+    ``near``: 1 within one edit of a term of any length."""
 
     def __init__(self, terms: list[str], short: int = 5):
         children: list[dict[str, int]] = [{}]
@@ -85,16 +87,22 @@ class Automaton:
         for state in order:
             best = max((2 if e == 0 else 1 for node, e in state if e <= limit.get(node, -1)), default=0)
             self.accept[number[state]] = best
+        self.near = np.zeros(len(table), dtype=np.int8)
+        for state in order:
+            self.near[number[state]] = any(node in limit for node, _ in state)
 
     def symbols(self) -> np.ndarray:
-        """Code point -> column of the table, -1 outside words."""
+        """Code point -> column of the table, -1 outside words, -2 for white space."""
         out = np.where(np.frombuffer(bytes(chr(i).isalnum() for i in range(0x110000)), dtype=bool), 0, -1).astype(np.int16)
         for c, i in self.alphabet.items():
             out[ord(c)] = i
+        out[[i for i in range(0x110000) if chr(i).isspace()]] = -2
         return out
 
-    def match(self, symbol: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def match(self, symbol: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+              accept: np.ndarray | None = None) -> np.ndarray:
         """For each word [start, end) of a symbol array: 0, 1 or 2."""
+        accept = self.accept if accept is None else accept
         out = np.zeros(len(starts), dtype=np.int8)
         word = np.arange(len(starts))
         state, at, end = np.ones(len(starts), dtype=np.int32), starts.copy(), ends
@@ -102,12 +110,33 @@ class Automaton:
             state = self.table[state, symbol[at]]
             at = at + 1
             done = at == end
-            out[word[done]] = self.accept[state[done]]
+            out[word[done]] = accept[state[done]]
             live = ~done & (state > 0)
             word, state, at, end = word[live], state[live], at[live], end[live]
         return out
 
 
+def unmasked(automaton: Automaton, symbol: np.ndarray, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray):
+    """Words and hits, where pieces with only punctuation between them are one word if none
+    of them is a hit and they are one together: with one mark that stands for a letter or
+    between two (the one edit of a term of any length), or without all marks."""
+    blank = np.cumsum(symbol == -2)
+    first = np.concatenate(([0], np.flatnonzero(blank[starts[1:]] > blank[ends[:-1] - 1]) + 1))
+    after = np.concatenate((first[1:], [len(starts)]))
+    some = np.flatnonzero((after - first > 1) & (np.maximum.reduceat(hit, first) == 0))
+    a, b = starts[first[some]], ends[after[some] - 1]
+    place = np.cumsum(symbol >= 0)
+    found = (automaton.match(np.maximum(symbol, 0), a, b, automaton.near)
+             | automaton.match(symbol[symbol >= 0], place[a] - 1, place[b - 1])) > 0
+    if not found.any():
+        return starts, ends, hit
+    ends, hit, keep = ends.copy(), hit.copy(), np.ones(len(starts), dtype=bool)
+    for i in some[found]:
+        ends[first[i]], hit[first[i]] = ends[after[i] - 1], 1
+        keep[first[i] + 1:after[i]] = False
+    return starts[keep], ends[keep], hit[keep]
+
+
 def features(texts: list[str | None], automaton: Automaton, symbol_of: np.ndarray) -> np.ndarray:
     """Per text: has a term, log terms, has a misspelling, log misspellings, share of hits in
     quotation, share with address, log of hits per hundred words."""
@@ -120,7 +149,7 @@ def features(texts: list[str | None], automaton: Automaton, symbol_of: np.ndarra
     out = np.zeros((len(texts), N_FEATURES))
     if not len(starts):
         return out
-    hit = automaton.match(symbol, starts, ends)
+    starts, ends, hit = unmasked(automaton, symbol, starts, ends, automaton.match(symbol, starts, ends))
     owner = np.searchsorted(np.cumsum([len(t) + 1 for t in lowered]), starts, side="right")
     n_words = np.bincount(owner, minlength=len(texts))
     exact = np.bincount(owner[hit == 2], minlength=len(texts))
@@ -141,8 +170,9 @@ def features(texts: list[str | None], automaton: Automaton, symbol_of: np.ndarra
     return out
 
 
-def learn_lexicon(sample: DataFrame, most_terms: int) -> list[str]:
-    """Words that stand in toxic texts more often than chance allows, most frequent first."""
+def learn_lexicon(sample: DataFrame) -> list[str]:
+    """All words that stand in toxic texts more often than chance allows, most frequent first.
+    Their number follows from the labelled sample, which is bounded."""
     size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1:
@@ -158,7 +188,7 @@ def learn_lexicon(sample: DataFrame, most_terms: int) -> list[str]:
     term = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
     ratio = 2 * (term(F.col("k1"), base) + (term(F.col("k0"), 1 - base) if n0 else F.lit(0.0)))
     got = (by_word.where((ratio >= 2 * math.log(tested) + 2) & (F.col("k1") > 9 * F.col("k0") * (n1 / max(1, n0))))
-           .orderBy(F.desc("k1"), "w").limit(most_terms).select("w").collect())   # the lexicon's documented bound
+           .orderBy(F.desc("k1"), "w").select("w").collect())
     return [r["w"] for r in got]
 
 
@@ -199,7 +229,7 @@ def _feature_rows(rows: DataFrame, automaton: Automaton, weights: np.ndarray | N
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = 10_000, clean_rows: int = 20_000,
-          most_terms: int = 400, id_col: str = "doc_id", text_col: str = "text") -> tuple[Automaton, np.ndarray]:
+          id_col: str = "doc_id", text_col: str = "text") -> tuple[Automaton, np.ndarray]:
     """Automaton and weights, from at most about ``toxic_rows`` and ``clean_rows`` labelled
     documents outside the held-out fold (those whose hashed id is smallest)."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~fold("doc_id", 4, 2))
@@ -211,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = 10_000, clean_ro
     sample = materialize(
         docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
         .join(F.broadcast(some), "key"), "sample")
-    automaton = Automaton(learn_lexicon(sample, most_terms))
+    automaton = Automaton(learn_lexicon(sample))
     got = (_feature_rows(sample.select("key", "text"), automaton, None)
            .join(F.broadcast(some), "key").select("x", "toxic").toPandas())
     if len(got) == 0:

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from nestrel.llm import decontaminate, packing
+from nestrel.llm import decontaminate, packing, toxicity
 
 
 def test_packing_of_added_tokens_and_long_white_space(spark):
@@ -67,3 +67,21 @@ def test_leaks_of_a_verbatim_run_below_the_share(spark):
              " ".join([*words[20:31], "gap", *words[31:42]])]
     assert found(spark, [" ".join(words)], texts) == {0}
     assert found(spark, [" ".join(words)], texts, run=12) == {0, 1}
+
+
+def test_toxicity_of_masked_words():
+    auto = toxicity.Automaton(["idiot", "moron", "scum"])
+    texts = ["a mor*n here", "an i.d.i.o.t here", "you s*um", "sc-um", "s.c.u.m you", "a m.o.r*n", "plain and/or well-known",
+             "(moron)", "idiot/moron", "s**m or ****", "scam sc am", "a s*\num"]
+    x = toxicity.features(texts, auto, auto.symbols())
+    assert (x[:, 2] > 0).tolist() == [True] * 6 + [False] * 6
+    assert (x[:, 0] > 0).tolist() == [False] * 7 + [True] * 2 + [False] * 3
+    assert x[2, 5] == x[4, 5] == 1 and x[1, 5] == 0             # 'you' is an address, a piece of the word is not
+
+
+def test_toxicity_keeps_rare_terms(spark):
+    word = lambda i: "vile" + "abcdefghij"[i // 100] + "abcdefghij"[i // 10 % 10] + "abcdefghij"[i % 10]
+    rows = [(i, f"plain words here {word(i // 12)} {word(i // 12)}" if i < 6000 else "plain words here", int(i < 6000))
+            for i in range(18000)]
+    df = spark.createDataFrame(rows, "key long, text string, toxic int")
+    assert toxicity.learn_lexicon(df) == sorted(word(i) for i in range(500))
