@@ -17,7 +17,8 @@ from nestrel.llm.common import materialize, read
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or of no language with a probability of half, go."""
+    """Documents without a letter, or of no language with a probability of half, go; without
+    a labelled row all stay."""
     return langid.keep_identified(docs, langid.train(docs))
 
 

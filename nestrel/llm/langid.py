@@ -142,7 +142,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
 def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], least: float = 0.5,
                     text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text has a learned language with
-    a score of at least ``least``."""
+    a score of at least ``least``; all rows where no language was learned."""
+    if not model[0]:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -85,3 +85,10 @@ def test_toxicity_keeps_rare_terms(spark):
             for i in range(18000)]
     df = spark.createDataFrame(rows, "key long, text string, toxic int")
     assert toxicity.learn_lexicon(df) == sorted(word(i) for i in range(500))
+
+
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(1, "some words", None), (2, None, None), (3, "12", None)], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, df, "").collect()} == {1, 2, 3}
