@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from nestrel.llm import (
+    bestfit,
+    bitsliced,
     decontaminate,
+    fim,
     langid,
     licenses,
     linededup,
@@ -60,7 +63,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(read(spark, sf_dir, "documents")))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack_best_fit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_warc, op3_licenses, op4_langid, op5_decontaminate, op6_quality, op7_linededup, op8_sharding,
-    op9_toxicity, op10_packing)}
-ORACLE: dict[str, str] = {"op2_warc": warc.SQL, "op7_linededup": linededup.SQL}
+    op9_toxicity, op10_packing, op11_search, op12_fim, op13_best_fit)}
+ORACLE: dict[str, str] = {"op2_warc": warc.SQL, "op7_linededup": linededup.SQL,
+                          "op11_search": bitsliced.SQL, "op12_fim": fim.SQL}
