@@ -62,13 +62,24 @@ def bit_places(entries: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([(one + np.uint64(i) * two) & np.uint64(bits - 1) for i in range(HASHES)]).astype(np.int64)
 
 
+class Hashes(dict):
+    """64-bit hashes of terms, computed once while they are held."""
+
+    def __missing__(self, term: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[term] = xxhash.xxh3_64_intdigest(term)
+        return h
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Blocks (bits a row, ids, lengths in terms, slices) and vocabulary rows (term, df: its
     documents in one part of a task's input; to be summed). Every row of ``docs`` has a row
     in a block, also those without a text."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-        hashes: dict[bytes, int] = {}
+        hashes = Hashes()
+        reached = np.searchsorted(LEVELS, np.arange(LEVELS[-1] + 1), side="right")     # levels of a count
         df: Counter = Counter()
 
         def batch_of(bits, ids, lengths, slices, words, counts):
@@ -80,9 +91,13 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         def block(bits):
             some = held.pop(bits)
             grid = np.zeros((bits, len(some)), dtype=np.bool_)
-            for row, (_, _, entries) in enumerate(some):
-                grid[bit_places(entries, bits).ravel(), row] = True
-            return batch_of([bits], [[d for d, _, _ in some]], [[n for _, n, _ in some]],
+            row = np.repeat(np.arange(len(some)), [len(h) for _, _, h, _ in some])
+            h, up = (np.concatenate([x[i] for x in some]) for i in (2, 3))
+            for i in range(len(LEVELS)):
+                at = up > i
+                for places in bit_places(entry_hashes(h[at], np.full(1, i)), bits):
+                    grid[places, row[at]] = True
+            return batch_of([bits], [[x[0] for x in some]], [[x[1] for x in some]],
                             [np.packbits(grid, axis=1).tobytes()], [None], [None])
 
         def vocabulary():
@@ -96,18 +111,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 words = terms(text.as_py())
                 found = Counter(words)
                 df.update(found.keys())
-                if len(hashes) > 500_000:
-                    hashes.clear()
-                for w in found:
-                    if w not in hashes:
-                        hashes[w] = xxhash.xxh3_64_intdigest(w)
-                h = np.fromiter((hashes[w] for w in found), dtype=np.uint64, count=len(found))
-                tf = np.fromiter(found.values(), dtype=np.int64, count=len(found))
-                entries = np.concatenate([entry_hashes(h[tf >= n], np.full(int((tf >= n).sum()), i))
-                                          for i, n in enumerate(LEVELS)])
-                bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_ENTRY * len(entries)).bit_length()))
+                h = np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found))
+                up = reached[np.minimum(np.fromiter(found.values(), dtype=np.int64, count=len(found)), LEVELS[-1])]
+                bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_ENTRY * int(up.sum())).bit_length()))
                 rows = held.setdefault(bits, [])
-                rows.append((doc.as_py(), len(words), entries))
+                rows.append((doc.as_py(), len(words), h, up))
                 if len(rows) * bits >= BLOCK_BITS:
                     yield block(bits)
                 if len(df) > 300_000:
