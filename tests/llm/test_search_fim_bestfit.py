@@ -1,0 +1,244 @@
+"""Ranked search, fill-in-the-middle and best-fit packing against plain Python versions."""
+
+import bisect
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from nestrel.llm import bestfit, bitsliced, fim
+from nestrel.llm.queries import ORACLE, QUERIES
+
+TERM = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+ODD = ["", None, " \n\t", "...", "Ünïcode ÜNÏCODE straße 東京 東京", "a\x00b c\x7fd", "x" * 5000, "A a A_a a-a 9a"]
+
+
+def rows_of(n, seed, words=400):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(words)]
+    out = [(i, " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(words)], k=rng.choice((3, 20, 80, 900)))))
+           for i in range(n)]
+    return out + [(n + i, t) for i, t in enumerate(ODD)] + [(1000 + i, out[0][1]) for i in range(15)]     # copies
+
+
+# ------------------------------------------------------------------ search
+def ranked(docs, items, top=10):
+    found = [(i, Counter(TERM.findall((t or "").translate(LOWER)))) for i, t in docs]
+    found = [(i, c) for i, c in found if c]
+    total, df = sum(c.total() for _, c in found), Counter(w for _, c in found for w in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c in found:
+            m = 10 + 90 * c.total() * len(found) // total
+            s = sum(math.floor(1000 * math.log((2 * len(found) + 2) / (2 * df[w] + 1))) * (10**9 * c[w] // (1000 * c[w] + 8 * m))
+                    for w in set(TERM.findall((text or "").translate(LOWER))) if c[w])
+            if s > 0:
+                scored.append((-s, i is None, i or 0, i))
+        out += [(item, k + 1, x[3], -x[0]) for k, x in enumerate(sorted(scored)[:top])]
+    return out
+
+
+def test_search_equals_brute_force(spark):
+    docs = rows_of(300, 1)
+    items = [(i, docs[i * 7][1][:200]) for i in range(20)] + [(50, None), (51, ""), (52, "nowhere"), (53, "w399 W399"),
+             (54, "ünïcode 東京 9A"), (55, " ".join(f"w{i}" for i in range(400))), (None, "w1 w2")]
+    # extra columns with clashing names are not looked at
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, bits int, term string").repartition(7)
+    q = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, rank int")
+    got = [tuple(r) for r in bitsliced.search(df, q, probe=12).collect()]
+    want = ranked(docs, items)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    # in several runs of items the same
+    again = [tuple(r) for r in bitsliced.search(df, q, probe=10, terms_at_once=30).collect()]
+    assert sorted(again, key=str) == sorted(want, key=str)
+
+
+def test_search_of_repeated_rows_and_null_ids(spark):
+    docs = [(1, "red fish"), (1, "red fish"), (1, "red red bird"), (None, "red fish"), (2, "blue"), (0, "red fish"), (3, None)]
+    items = [(7, "red"), (7, "red"), (8, "fish blue")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = bitsliced.search(df, spark.createDataFrame(items, "item_id long, text string"), top=3).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, ranked(docs, items, top=3)))
+
+
+def test_search_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    some = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    blank = spark.createDataFrame([(1, "?"), (2, None)], "doc_id long, text string")
+    for docs, q in ((none, items), (some, items.limit(0)), (blank, items)):
+        out = bitsliced.search(docs, q)
+        assert out.columns == ["item_id", "rank", "doc_id", "score"] and out.count() == 0
+
+
+def test_bounds_are_never_below_the_score(spark):
+    docs = rows_of(200, 5) + [(2000, " ".join(f"t{i}" for i in range(30_000)))]
+    index = bitsliced.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    df = Counter()
+    for r in index:
+        if r.term is not None:
+            df[r.term.encode()] += r.df
+    lengths = [n for r in index if r.bits for n in r.lengths]
+    assert sum(len(r.doc_ids) for r in index if r.bits) == len(docs)            # every row is indexed
+    items = bitsliced.Items([sorted(set(bitsliced.terms(t))) for _, t in docs[:40]], df,
+                            sum(n > 0 for n in lengths), sum(lengths))
+    texts, loose = dict(docs), 0
+    for r in index:
+        if r.bits:
+            bound = items.bounds(r.bits, np.array(r.lengths), bytes(r.slices))
+            for col, doc in enumerate(r.doc_ids):
+                score = items.scores(texts[doc] or "", list(range(40)))
+                assert (bound[:, col] >= score).all()
+                loose += int((bound[:, col] > 1.2 * np.array(score) + 1).sum())
+    assert loose < 0.5 * 40 * len(docs)                                         # and not idle
+
+
+# ------------------------------------------------------------------ fill-in-the-middle
+def written(doc, text):
+    text = text or ""
+    h = hashlib.sha256(f"1:{'' if doc is None else doc}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i:i + 8], 16) for i in range(0, 32, 8))
+    n = len(text)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = text[:a], text[a:b], text[b:]
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return doc, n, "plain", None, None, text
+    if h4 % 100 < 20:
+        return doc, n, "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"
+    return doc, n, "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_fim_equals_plain_python_and_restores(spark):
+    docs = rows_of(150, 2) + [(i, t) for i, t in enumerate(("<P", "a<S>b", "<<P>", "P><M", "é\U0001F926\U0001F3FC", "\r\n<S"), 500)]
+    docs += [(None, "no id"), (None, None), (3, docs[3][1]), (900, "long " * 200_000)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n int, form string").repartition(5)
+    out = fim.fill_in_middle(df)
+    got = out.withColumn("back", fim.restored(F.col("output"), F.col("form"))).collect()
+    assert sorted((str(tuple(r)[:6]) for r in got)) == sorted(str(written(*d)) for d in docs)
+    assert Counter((r.doc_id, r.back) for r in got) == Counter((i, t or "") for i, t in docs)
+    assert {r.form for r in got} == {"plain", "psm", "spm"}
+    assert fim.digests(fim.fill_in_middle(df.limit(0))).count() == 0
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(st.sampled_from("<PSM>a é\n")), min_size=40, max_size=60))
+def test_fim_restores_texts_full_of_half_markers(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = fim.fill_in_middle(df).withColumn("back", fim.restored(F.col("output"), F.col("form"))).collect()
+    assert {r.doc_id: r.back for r in out} == dict(enumerate(texts))
+
+
+def test_fim_by_words_and_by_characters_as_seen(spark):
+    docs = [(i, t) for i in range(30) for t in ("one two  three four ", "éé x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    words = fim.fill_in_middle(df, unit=r"\S+\s*").where("n = 4 AND form <> 'plain'").collect()
+    borders = {0, 4, 9, 15, 20}
+    assert words and all({r.prefix_chars, r.prefix_chars + r.middle_chars} <= borders for r in words)
+    seen = fim.fill_in_middle(df, unit=r"\X").where("n = 4").collect()
+    assert seen and all({r.prefix_chars, r.prefix_chars + r.middle_chars} <= {0, 2, 4, 5, 6} for r in seen if r.form != "plain")
+    # a text that is no whole number of units stays as it is
+    odd = fim.fill_in_middle(spark.createDataFrame([(1, " x")], "doc_id long, text string"), unit=r"\S+\s*").first()
+    assert (odd.n, odd.form, odd.output) == (None, "plain", " x")
+
+
+# ------------------------------------------------------------------ best fit
+def plain_best_fit(lengths, window):
+    """Remaining capacities after best fit decreasing, one piece at a time."""
+    capacity, full = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(capacity, n)
+        left = (capacity.pop(at) if at < len(capacity) else window) - n
+        if left:
+            bisect.insort(capacity, left)
+        else:
+            full += 1
+    return Counter(capacity) + Counter({0: full})
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 64).flatmap(lambda w: st.tuples(st.just(w), st.lists(st.integers(1, w), max_size=300))))
+def test_runs_are_best_fit_decreasing(case):
+    window, lengths = case
+    counts, left = Counter(lengths), {}
+    runs = bestfit.best_fit(counts, window)
+    for n, total in counts.items():
+        mine = sorted(r[1:] for r in runs if r[0] == n)
+        for i in range(total):
+            first, each, at, offset = [r for r in mine if r[0] <= i][-1]
+            left.setdefault(at + (i - first) // each, []).append((offset + (i - first) % each * n, n))
+    for pieces in left.values():
+        end = 0
+        for offset, n in sorted(pieces):
+            assert offset == end
+            end += n
+        assert end <= window
+    assert Counter(window - sum(n for _, n in p) for p in left.values()) == plain_best_fit(lengths, window)
+
+
+def test_tree_finds_the_tightest():
+    rng, tree, held = random.Random(3), bestfit.Capacities(100), Counter()
+    for _ in range(3000):
+        c = rng.randint(1, 100)
+        n = rng.choice((1, 2, -1)) if held[c] else 1
+        tree.add(c, n)
+        held[c] += n
+        least = rng.randint(1, 100)
+        assert tree.tightest(least) == min((k for k, v in held.items() if v > 0 and k >= least), default=None)
+
+
+def check_packing(rows, docs, window):
+    """Every id of every document once; windows gapless; as few as best fit decreasing takes."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for i, t in docs}
+    pieces, windows = {}, {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        windows.setdefault(r.sequence_id, []).append(r)
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start:r.start + r.length], dtype="<u4").tobytes())
+    lengths = []
+    assert set(pieces) == {i for i, _ in docs}
+    for i, some in pieces.items():
+        n, some = len(ids[i]), sorted(some, key=lambda r: r.piece)
+        want = [(n - 1) % window + 1] + [window] * ((n - 1) // window)
+        assert [r.length for r in some] == want and [r.piece for r in some] == list(range(len(want)))
+        assert [r.start for r in some] == [sum(want[:k]) for k in range(len(want))]
+        lengths += want
+    for some in windows.values():
+        at = 0
+        for r in sorted(some, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= window
+    assert Counter(window - sum(r.length for r in some) for some in windows.values()) == plain_best_fit(lengths, window)
+
+
+@pytest.mark.parametrize("window", [64, 2048])
+def test_best_fit_packs_whole_documents(spark, window):
+    docs = rows_of(250, 4)[:-15] + [(2000, "words " * 9000), (2001, "<|endoftext|> x"), (2002, " " * 3000)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, length int").repartition(6)
+    check_packing(bestfit.pack_best_fit(df, window=window).collect(), docs, window)
+
+
+def test_best_fit_of_nothing_null_ids_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "a b"), (None, None), (1, "same"), (1, "same")], "doc_id long, text string")
+    rows = bestfit.pack_best_fit(df).collect()
+    assert Counter(r.doc_id for r in rows) == {None: 2, 1: 2} and len({r.sequence_id for r in rows}) == 1
+    assert sorted(r.offset for r in rows)[0] == 0
+    assert bestfit.pack_best_fit(df.limit(0)).count() == 0
+
+
+def test_queries_are_registered():
+    assert {"op11_search", "op12_fim", "op13_best_fit"} <= set(QUERIES)
+    assert {"op11_search", "op12_fim"} <= set(ORACLE)
