@@ -1,27 +1,23 @@
-"""Snowball English ("Porter2") stemmer as a vectorised pandas UDF.
-
-This is the one place Python is needed: the published stemming algorithm has
-region-dependent suffix rules that built-in expressions cannot express
-readably. It runs on Arrow batches of token arrays; within a batch each
-distinct token is stemmed once (a dict), so the Python work is proportional
-to the batch vocabulary, not to the token count. The stemmer below follows
-the published algorithm step by step (written from its public description).
+"""The published English stemmer ("Porter2") as built-in expressions over an array of tokens.
+
+A step of the algorithm looks for the longest of its suffixes and, if the suffix lies in
+a certain region of the word, replaces it. So a step is a table of suffixes and
+replacements (a literal map), one ``regexp_extract`` that finds the suffix, and a comparison
+of lengths. Every step is a ``transform`` of its own over the tokens, which keeps the
+expression linear in size; nothing leaves the JVM and nothing is shuffled.
+
+A word on its way is a struct: ``w``, the starts of its regions ``r1`` and ``r2`` (numbers of
+characters before them), and ``done`` (the stem, once an exception has settled it).
 """
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values of the published algorithm.
-VOWELS = frozenset("aeiouy")
+VOWEL, LI_ENDING = "[aeiouy]", "[cdeghkmnrt]"
 DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
-LI_ENDING = frozenset("cdeghkmnrt")
 EXCEPTIONS = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
     "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
@@ -30,6 +26,7 @@ EXCEPTIONS = {
 }
 EXCEPTIONS_AFTER_1A = frozenset(
     ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"])
+STEP1B = ("eedly", "ingly", "edly", "eed", "ing", "ed")
 R1_PREFIXES = ("gener", "commun", "arsen")
 STEP2 = [
     ("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"),
@@ -46,175 +43,138 @@ STEP4 = ["ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "
          "iti", "ous", "ive", "ize", "ion", "al", "er", "ic"]
 
 
-def _is_vowel(w: str, i: int) -> bool:
-    return w[i] in VOWELS
-
-
-def _region_after(w: str, start: int) -> int:
-    for i in range(start + 1, len(w)):
-        if not _is_vowel(w, i) and _is_vowel(w, i - 1):
-            return i + 1
-    return len(w)
-
-
-def _regions(w: str) -> tuple[int, int]:
-    r1 = None
-    for p in R1_PREFIXES:
-        if w.startswith(p):
-            r1 = len(p)
-            break
-    if r1 is None:
-        r1 = _region_after(w, 0)
-    r2 = _region_after(w, r1)
-    return r1, r2
-
-
-def _short_syllable_end(w: str) -> bool:
-    n = len(w)
-    if n == 2:
-        return _is_vowel(w, 0) and not _is_vowel(w, 1)
-    if n >= 3:
-        return (not _is_vowel(w, n - 3) and _is_vowel(w, n - 2) and not _is_vowel(w, n - 1)
-                and w[n - 1] not in "wxY")
-    return False
-
-
-def _is_short(w: str, r1: int) -> bool:
-    return r1 >= len(w) and _short_syllable_end(w)
-
-
-def stem(word: str) -> str:
-    if word is None:
-        return None
-    w = word.lower()
-    if len(w) <= 2:
-        return w
-    if w in EXCEPTIONS:
-        return EXCEPTIONS[w]
-    if w.startswith("'"):
-        w = w[1:]
-    if w.startswith("y"):
-        w = "Y" + w[1:]
-    w = "".join("Y" if c == "y" and i > 0 and w[i - 1] in VOWELS else c for i, c in enumerate(w))
-    r1, r2 = _regions(w)
-
-    # step 0
-    for suf in ("'s'", "'s", "'"):
-        if w.endswith(suf):
-            w = w[: -len(suf)]
-            break
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ied") or w.endswith("ies"):
-        w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith("us") or w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        if any(c in VOWELS for c in w[:-2]):
-            w = w[:-1]
-    if w in EXCEPTIONS_AFTER_1A:
-        return w
-    # step 1b
-    for suf in ("eedly", "ingly", "edly", "eed", "ing", "ed"):
-        if w.endswith(suf):
-            if suf in ("eed", "eedly"):
-                if len(w) - len(suf) >= r1:
-                    w = w[: -len(suf)] + "ee"
-            else:
-                stem_part = w[: -len(suf)]
-                if any(c in VOWELS for c in stem_part):
-                    w = stem_part
-                    if w.endswith(("at", "bl", "iz")):
-                        w += "e"
-                    elif w.endswith(DOUBLES):
-                        w = w[:-1]
-                    elif _is_short(w, r1):
-                        w += "e"
-            break
-    # step 1c
-    if len(w) > 2 and w[-1] in "yY" and w[-2] not in VOWELS:
-        w = w[:-1] + "i"
-    # step 2
-    for suf, rep in STEP2:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                if suf == "ogi":
-                    if w[-4:-3] == "l":
-                        w = w[:-3] + rep
-                elif suf == "li":
-                    if len(w) >= 3 and w[-3] in LI_ENDING:
-                        w = w[:-2]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-    # step 3
-    for suf, rep in STEP3:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                if suf == "ative":
-                    if len(w) - len(suf) >= r2:
-                        w = w[:-5]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-    # step 4
-    for suf in STEP4:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r2:
-                if suf == "ion":
-                    if len(w) >= 4 and w[-4] in "st":
-                        w = w[:-3]
-                else:
-                    w = w[: -len(suf)]
-            break
-    # step 5
-    if w.endswith("e"):
-        if len(w) - 1 >= r2 or (len(w) - 1 >= r1 and not _short_syllable_end(w[:-1])):
-            w = w[:-1]
-    elif w.endswith("l"):
-        if len(w) - 1 >= r2 and w.endswith("ll"):
-            w = w[:-1]
-    return w.replace("Y", "y")
-
-
-# Ship this module's code with the UDF (pickled by value), so executors need
-# no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_arrays(arrs: pd.Series) -> pd.Series:
-    cache: dict[str, str] = {}
-
-    def one(a):
-        if a is None:
-            return None
-        out = []
-        for tok in a:
-            s = cache.get(tok)
-            if s is None:
-                s = cache[tok] = stem(tok)
-            out.append(s)
-        return out
-    return arrs.map(one)
-
-
-@F.pandas_udf(T.StringType())
-def _stem_strings(tokens: pd.Series) -> pd.Series:
-    uniq = tokens.dropna().unique()
-    return tokens.map(dict(zip(uniq, map(stem, uniq))))
+
+
+def _cut(w: Column, n) -> Column:
+    """w without its last n characters."""
+    return w.substr(F.lit(1), F.length(w) - n)
+
+
+def _table(rules: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
+
+
+def _suffix(w: Column, suffixes) -> Column:
+    """The longest of the suffixes that w ends with, or the empty text."""
+    return F.regexp_extract(w, f"(?:{'|'.join(suffixes)})$", 0)
+
+
+def _short_end(w: Column) -> Column:
+    """Ends in a short syllable: vowel and consonant at the start, or consonant, vowel and
+    a consonant other than w, x and Y."""
+    return w.rlike(f"(?:^{VOWEL}[^aeiouy]|[^aeiouy]{VOWEL}[^aeiouywxY])$")
+
+
+def _next(x: Column, w: Column, **more: Column) -> Column:
+    """The word as it goes on."""
+    return F.struct(w.alias("w"), x["r1"].alias("r1"), x["r2"].alias("r2"), x["done"].alias("done"),
+                    *[c.alias(n) for n, c in more.items()])
+
+
+def _find(suffixes):
+    """Half a step: the longest suffix is found and kept beside the word."""
+    return lambda x: _next(x, x["w"], s=_suffix(x["w"], suffixes))
+
+
+def _swap(rules: dict[str, str], region: str, unless=None):
+    """The other half: the suffix is replaced if it lies in the region."""
+    def step(x: Column) -> Column:
+        w, s = x["w"], x["s"]
+        ok = (s != "") & (F.length(w) - F.length(s) >= x[region])
+        if unless is not None:
+            ok = ok & ~unless(x, w, s)
+        return _next(x, F.when(ok, F.concat(_cut(w, F.length(s)), F.try_element_at(_table(rules), s))).otherwise(w))
+    return step
+
+
+def _begin(token: Column) -> Column:
+    """Apostrophe and y marked, step 0; short words and exceptions are done."""
+    low = F.lower(token)
+    w = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, "^'", ""), "^y", "Y"), f"(?<={VOWEL})y", "Y")
+    return F.struct(w.alias("w"), F.when(F.length(low) <= 2, low).otherwise(F.try_element_at(_table(EXCEPTIONS), low)).alias("done"))
+
+
+def _regions(x: Column) -> Column:
+    w = x["w"]
+    given = F.length(F.regexp_extract(w, f"^(?:{'|'.join(R1_PREFIXES)})", 0))
+    found = F.length(F.regexp_extract(w, f"^.*?{VOWEL}[^aeiouy]", 0))
+    r1 = F.when(given > 0, given).when(found > 0, found).otherwise(F.length(w))
+    return F.struct(w.alias("w"), r1.alias("r1"), x["done"].alias("done"))
+
+
+def _second_region(x: Column) -> Column:
+    w, r1 = x["w"], x["r1"]
+    found = F.length(F.regexp_extract(w.substr(r1 + 1, F.length(w)), f"^.*?{VOWEL}[^aeiouy]", 0))
+    r2 = F.when(found > 0, r1 + found).otherwise(F.length(w))
+    return F.struct(F.regexp_replace(w, "(?:'s'|'s|')$", "").alias("w"), r1.alias("r1"), r2.alias("r2"), x["done"].alias("done"))
+
+
+def _step_1a(x: Column) -> Column:
+    w = x["w"]
+    n = (F.when(w.endswith("sses"), F.lit(2))
+         .when(w.rlike("ie[ds]$"), F.when(F.length(w) > 4, F.lit(2)).otherwise(F.lit(1)))
+         .when(w.rlike("[us]s$"), F.lit(0))
+         .when(w.rlike(f"{VOWEL}.*.s$"), F.lit(1)).otherwise(F.lit(0)))
+    return _next(x, _cut(w, n))
+
+
+def _after_1a(x: Column) -> Column:
+    done = F.coalesce(x["done"], F.when(x["w"].isin(*sorted(EXCEPTIONS_AFTER_1A)), x["w"]))
+    return F.struct(x["w"].alias("w"), x["r1"].alias("r1"), x["r2"].alias("r2"), done.alias("done"))
+
+
+def _step_1b(x: Column) -> Column:
+    """The suffix goes; ``fix`` tells whether the rest is to be mended."""
+    w, s, rest = x["w"], x["s"], _cut(x["w"], F.length(x["s"]))
+    long, gone = s.startswith("eed"), (s != "") & rest.rlike(VOWEL)
+    out = (F.when(long, F.when(F.length(rest) >= x["r1"], F.concat(rest, F.lit("ee"))).otherwise(w))
+           .when(gone, rest).otherwise(w))
+    return _next(x, out, fix=~long & gone)
+
+
+def _mend(x: Column) -> Column:
+    w = x["w"]
+    return _next(x, F.when(~x["fix"], w).when(w.rlike("(?:at|bl|iz)$"), F.concat(w, F.lit("e")))
+                 .when(w.rlike(f"(?:{'|'.join(DOUBLES)})$"), _cut(w, 1))
+                 .when((x["r1"] >= F.length(w)) & _short_end(w), F.concat(w, F.lit("e"))).otherwise(w))
+
+
+def _step_1c(x: Column) -> Column:
+    return _next(x, F.regexp_replace(x["w"], "(?<=.[^aeiouy])[yY]$", "i"))
+
+
+def _not_2(x: Column, w: Column, s: Column) -> Column:
+    return ((s == "ogi") & ~w.endswith("logi")) | ((s == "li") & ~w.rlike(f"{LI_ENDING}li$"))
+
+
+def _not_3(x: Column, w: Column, s: Column) -> Column:
+    return (s == "ative") & (F.length(w) - 5 < x["r2"])
+
+
+def _not_4(x: Column, w: Column, s: Column) -> Column:
+    return (s == "ion") & ~w.rlike("[st]ion$")
+
+
+def _step_5(x: Column) -> Column:
+    w = x["w"]
+    n = F.length(w) - 1
+    e = w.endswith("e") & ((n >= x["r2"]) | ((n >= x["r1"]) & ~_short_end(_cut(w, 1))))
+    stem = F.when(e | (w.endswith("ll") & (n >= x["r2"])), _cut(w, 1)).otherwise(w)
+    return F.coalesce(x["done"], F.translate(stem, "Y", "y"))
+
+
+STEPS = (_begin, _regions, _second_region, _step_1a, _after_1a, _find(STEP1B), _step_1b, _mend, _step_1c,
+         _find(dict(STEP2)), _swap(dict(STEP2), "r1", _not_2), _find(dict(STEP3)), _swap(dict(STEP3), "r1", _not_3),
+         _find(STEP4), _swap(dict.fromkeys(STEP4, ""), "r2", _not_4), _step_5)
 
 
 def stem_tokens(tokens: Column) -> Column:
-    """Stem every token of an array column (Arrow-batched, per-batch cache).
-    One row carries a whole document's tokens, so batch memory follows the
-    document sizes; for index building prefer ``stem_token``."""
-    return _stem_arrays(tokens)
+    """The stem of every token of an array column."""
+    for step in STEPS:
+        tokens = F.transform(tokens, step)
+    return tokens
 
 
 def stem_token(token: Column) -> Column:
-    """Stem a string column; an Arrow batch holds at most
-    ``spark.sql.execution.arrow.maxRecordsPerBatch`` tokens, whatever the
-    document sizes, and each distinct token of a batch is stemmed once."""
-    return _stem_strings(token)
+    """The stem of a text column that holds one token."""
+    return F.element_at(stem_tokens(F.array(token)), 1)

@@ -7,8 +7,8 @@ Three normalisers share one interface, ``lexemes(text, kind)``:
             ``-ed`` / ``-ing`` when the stem has a vowel, then ``at/bl/iz`` ->
             ``+e`` and undoubling of a final double consonant). Built-in
             expressions only, so an independent SQL engine reproduces it.
-``porter2`` ``exact`` then the Snowball English stemmer, run as a vectorised
-            pandas UDF (``nestrel.functions.porter2``).
+``porter2`` ``exact`` then the Snowball English stemmer, as built-in expressions too
+            (``nestrel.functions.porter2``).
 
 A query term goes through the same expression as the documents (Catalyst
 folds the literal), so document and query normalisation cannot drift apart.

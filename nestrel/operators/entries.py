@@ -21,7 +21,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from nestrel.operators.numbering import numbers_per_key
 
 
 def first_in_array(entries: Column, pred: Callable[[Column], Column],
@@ -61,71 +62,26 @@ def first_with_fallback(df: DataFrame, key: str, order: str, value: str,
     return df.groupBy(key).agg(F.coalesce(*firsts).alias(alias))
 
 
-def _split_numbering(df: DataFrame, key: str, order: Sequence[str], alias: str, fn: str,
-                     buckets: int | None, nulls_first: bool = False) -> DataFrame:
-    """Per-key ``row_number``/``rank`` that also splits hot keys.
-
-    Rows are cut into ranges at global quantiles of the first order column
-    (``buckets - 1`` literals), so one key's rows spread over up to
-    ``buckets`` tasks. Each (key, range) piece is numbered on its own; the
-    offset of a piece is the number of rows of the same key in earlier
-    pieces, summed over a per-key window of at most a few rows per range.
-    Rows in earlier ranges have strictly smaller first order values, so
-    ``rank`` = offset + local rank and ``row_number`` = offset + local number.
+def row_number_per_key(df: DataFrame, key: str, order: Sequence[str], alias: str = "rn",
+                       split_hot_keys: bool = True, buckets: int | None = None) -> DataFrame:
+    """``row_number() over (partition by key order by ...)`` as BIGINT, NULLs last.
 
-    Cuts are doubles; values are compared as doubles, too, which keeps their order, so
-    values too close to tell apart share a range and are ordered inside it in their own
-    type. Rows of a NULL key are one key. An order column that is neither numeric nor a
-    date or timestamp cannot be cut: the plain window numbers it.
-    """
-    nulls = [(F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()) for c in order]
-    num = F.row_number() if fn == "row_number" else F.rank()
-    first, kind = order[0], df.schema[order[0]].dataType
-    if isinstance(kind, (T.TimestampType, T.DateType)):
-        v = F.unix_micros(F.col(first).cast("timestamp")).cast("double")
-    elif isinstance(kind, T.NumericType):
-        v = F.col(first).cast("double")
-    else:
-        return df.withColumn(alias, num.over(Window.partitionBy(key).orderBy(*nulls)).cast("bigint"))
-    if buckets is None:
-        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted(set(df.select(v.alias("v")).approxQuantile("v", [i / buckets for i in range(1, buckets)], 0.001)))
-    cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    # NULL order values get their own range, after (or before) all others
-    null_range = F.lit(-1) if nulls_first else F.lit(len(cuts) + 1)
-    b = df.withColumn("__r", F.when(v.isNull(), null_range).otherwise(
-        F.size(F.filter(cut_arr, lambda c: v > c))))
-    prior = Window.partitionBy(key).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (b.groupBy(key, "__r").agg(F.count(F.lit(1)).alias("__n"))
-               .select(F.col(key).alias("__k"), F.col("__r").alias("__q"),
-                       F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off")))
-    local = Window.partitionBy(key, "__r").orderBy(*nulls)
-    out = b.withColumn("__l", num.over(local)).join(
-        offsets, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__r") == F.col("__q")))
-    return (out.withColumn(alias, (F.col("__off") + F.col("__l")).cast("bigint"))
-               .drop("__r", "__l", "__off", "__k", "__q"))
-
-
-def row_number_per_key(df: DataFrame, key: str, order: Sequence[str],
-                       alias: str = "rn", split_hot_keys: bool = False,
-                       buckets: int | None = None) -> DataFrame:
-    """``row_number() over (partition by key order by ...)`` as BIGINT.
-
-    A plain window partitioned by key; with ``split_hot_keys`` a key holding a large
-    share of the rows is numbered by several tasks (see ``_split_numbering``).
+    Rows are numbered inside ranges of (key, order), ``buckets`` of them, so a key holding a
+    large share of the rows is numbered by several tasks (``numbering``). Where no
+    key can be hot, ``split_hot_keys=False`` is one plain window with one shuffle.
     """
+    by = [F.col(c).asc_nulls_last() for c in order]
     if split_hot_keys:
-        return _split_numbering(df, key, order, alias, "row_number", buckets)
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn(alias, F.row_number().over(w).cast("bigint"))
+        return numbers_per_key(df, key, by, alias, "row_number", buckets)
+    return df.withColumn(alias, F.row_number().over(Window.partitionBy(key).orderBy(*by)).cast("bigint"))
 
 
 def rank_per_key(df: DataFrame, key: str, order: Sequence[str], pred: Column | None = None,
-                 alias: str = "rk", split_hot_keys: bool = False,
-                 buckets: int | None = None) -> DataFrame:
-    """``rank() over (partition by key order by ...)`` after an optional filter."""
+                 alias: str = "rk", split_hot_keys: bool = True, buckets: int | None = None) -> DataFrame:
+    """``rank() over (partition by key order by ...)`` after an optional filter; keys are split
+    as in ``row_number_per_key``."""
     src = df if pred is None else df.where(pred)
+    by = [F.col(c).asc_nulls_last() for c in order]
     if split_hot_keys:
-        return _split_numbering(src, key, order, alias, "rank", buckets)
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return src.withColumn(alias, F.rank().over(w).cast("bigint"))
+        return numbers_per_key(src, key, by, alias, "rank", buckets)
+    return src.withColumn(alias, F.rank().over(Window.partitionBy(key).orderBy(*by)).cast("bigint"))

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from nestrel.operators.numbering import dense_numbers
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str], primary: bool = False,
@@ -42,6 +45,37 @@ def fk_orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Da
     return fk_orphans(child, fk, parent, pk).agg(F.count(F.lit(1)).alias("orphans"))
 
 
+def fk_orphan_counts(tables: dict[str, DataFrame], foreign_keys: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """(child, fk, orphans) for every ``(child, column, parent, key)``, in one aggregation and without a join.
+
+    Every table is read once and gives one row per rule it takes part in, as child or as
+    parent. Grouped by rule and value, first inside each task, a value is an orphan's if no
+    parent row has it; a value held by a third of the children is one row after the
+    partial step. NULL references are no orphans.
+    """
+    roles: dict[str, list] = {}
+    for i, (child, fk, parent, key) in enumerate(foreign_keys):
+        roles.setdefault(child, []).append((i, fk, 1))
+        roles.setdefault(parent, []).append((i, key, 0))
+    kinds = [tables[t].schema[c].dataType for t, some in roles.items() for _, c, _ in some]
+    as_type = "bigint" if all(isinstance(k, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for k in kinds) else "string"
+    parts = [tables[t].select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("rule"), F.col(c).cast(as_type).alias("value"), F.lit(n).alias("child")) for i, c, n in some])))
+        for t, some in roles.items()]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    held = every.where("value IS NOT NULL").groupBy("rule", "value").agg(
+        F.sum("child").alias("children"), F.min("child").alias("lone"))          # lone: no parent row among them
+    lost = held.groupBy("rule").agg(F.sum(F.when(F.col("lone") == 1, F.col("children")).otherwise(0)).alias("orphans"))
+    spark = next(iter(tables.values())).sparkSession
+    rules = spark.range(len(foreign_keys)).select(
+        F.col("id").cast("int").alias("rule"),
+        F.element_at(F.array(*[F.lit(c) for c, _, _, _ in foreign_keys]), (F.col("id") + 1).cast("int")).alias("child"),
+        F.element_at(F.array(*[F.lit(f) for _, f, _, _ in foreign_keys]), (F.col("id") + 1).cast("int")).alias("fk"))
+    return rules.join(lost, "rule", "left").select("child", "fk", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans"))
+
+
 def cascade_delete(child: DataFrame, fk: str, deleted_parent_keys: DataFrame, pk: str) -> DataFrame:
     """Child rows that survive deleting the given parents (``ON DELETE CASCADE``).
 
@@ -104,32 +138,18 @@ def domain_violations(df: DataFrame, keys: Sequence[str], rules: dict[str, dict]
     return out
 
 
-def assign_ids(batch: DataFrame, order_col: str, start_after: DataFrame | int,
-               id_col: str = "id", buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
-    """Dense surrogate ids ``max(existing)+1 ..`` numbered in ``order_col`` order.
+def assign_ids(batch: DataFrame, order_col: str | Sequence[str], start_after: DataFrame | int,
+               id_col: str = "id", buckets: int | None = None) -> DataFrame:
+    """Dense surrogate ids ``max(existing)+1 ..`` numbered in the order of ``order_col``, one column
+    or several of any orderable type (NULLs first; full ties in any order).
 
-    ``order_col`` must be a unique numeric key of the batch. Instead of one
-    global window, the batch is cut into ranges at approximate quantiles
-    (a bounded list of ``buckets - 1`` literals), rows are counted per range
-    (``buckets`` rows), each range gets its offset from those counts, and rows
-    are numbered inside their range only. Exact whatever the quantiles are.
+    Rows are numbered inside ``buckets`` sorted ranges and offset by the rows of the ranges
+    before (``numbering``): no global window, no cut points on the driver.
     """
     if isinstance(start_after, int):
         base = start_after
     else:
         # one scalar through the driver (the current maximum id)
         base = start_after.agg(F.max(F.col(start_after.columns[0]))).first()[0] or 0
-    if buckets is None:   # one range per shuffle partition of the session
-        buckets = max(2, int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(x for x in batch.approxQuantile(order_col, probs, rel_error) if x is not None))
-    cut_arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    b = batch.withColumn("__b", F.size(F.filter(cut_arr, lambda c: F.col(order_col) > c)))
-    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    # window over at most `buckets` rows
-    w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    local = Window.partitionBy("__b").orderBy(F.col(order_col).asc())
-    out = (b.join(F.broadcast(offsets), "__b")
-             .withColumn(id_col, (F.lit(base) + F.col("__off") + F.row_number().over(local)).cast("bigint")))
-    return out.drop("__b", "__off")
+    by = [order_col] if isinstance(order_col, str) else list(order_col)
+    return dense_numbers(batch, [F.col(c).asc_nulls_first() for c in by], id_col, base, buckets)

@@ -12,7 +12,7 @@ Scale notes
   k distinct positive counts need at least k(k+1)/2 underlying rows, so
   N rows give at most sqrt(2N) distinct counts (1.4M for 10^12 rows), so its
   window and join stay small. For values without such a bound,
-  ``method="ranges"`` ranks inside quantile ranges instead.
+  ``method="ranges"`` ranks inside sorted ranges instead.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nestrel.operators.numbering import PART, PLACE, numbers_per_key, ranged
+
 from nestrel.functions import arrays as A
 
 
@@ -81,21 +83,14 @@ def rank_by_value(df: DataFrame, value_col: str, rank_col: str = "rk",
     sqrt(2N) for counts (see module doc). Spark decides from the measured
     size whether the histogram is broadcast.
 
-    ``method="ranges"`` (any numeric value): rows are cut at approximate
-    quantiles into ``buckets`` ranges, ranked inside their range, and offset
-    by the number of rows in earlier ranges (one count row per range).
+    ``method="ranges"`` (any orderable value): rows are ranked inside ``buckets`` sorted
+    ranges and offset by the number of rows in earlier ranges (``numbering``).
     """
     if method == "ranges":
-        from nestrel.operators.entries import _split_numbering
         v = F.col(value_col)
-        key = df.withColumn("__all", F.lit(0))
-        order_col = value_col
-        if descending:
-            key = key.withColumn("__neg", -v)
-            order_col = "__neg"
-        out = _split_numbering(key, "__all", [order_col], rank_col, "rank", buckets,
-                               nulls_first=descending)
-        return out.drop("__all", "__neg")
+        return numbers_per_key(df.withColumn("nestrel all", F.lit(0)), "nestrel all",
+                               [v.desc_nulls_first() if descending else v.asc_nulls_last()], rank_col, "rank",
+                               buckets).drop("nestrel all")
     v = F.col(value_col)
     hist = df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     order = F.col("__v").desc_nulls_first() if descending else F.col("__v").asc_nulls_last()
@@ -126,6 +121,38 @@ def sorted_slice(df: DataFrame, order: Sequence[Column], start: int, stop: int)
     return df.orderBy(*order).offset(start).limit(stop - start)
 
 
+def key_slice(df: DataFrame, keys: Sequence[str], start: int, stop: int, parts: int | None = None) -> DataFrame:
+    """The rows ``[start, stop)`` of ``df`` ordered by its unique ``keys`` (NULLs first), in no order.
+
+    Only key columns are sorted, inside ranges; the rows per range tell which ranges meet the
+    slice, and their places which keys. The wide rows are then read by the first and the
+    last of these keys: a filter that reaches the scan, so what lies outside is neither
+    moved nor parsed.
+    """
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    placed = ranged(df.select(*keys), order, parts)
+    sizes = sorted((r[0], r[1]) for r in placed.groupBy(PART).count().collect())      # a row a range
+    part, place = F.col(f"`{PART}`"), F.col(f"`{PLACE}`")
+    before, meets = 0, F.lit(False)
+    for number, n in sizes:
+        if before < stop and before + n > start:
+            meets = meets | ((part == number) & (place >= start - before) & (place < stop - before))
+        before += n
+    some = placed.where(meets).select(*keys)
+    first = F.col(keys[0])
+    ends = some.agg(F.min(first), F.max(first), F.count_if(first.isNull()), F.count(F.lit(1))).first()
+    near = first.between(F.lit(ends[0]), F.lit(ends[1]))
+    near = first.isNull() if ends[0] is None else near | first.isNull() if ends[2] else near
+    if len(keys) == 1 or not ends[3]:
+        return df.where(near if ends[3] else F.lit(False))
+    wanted = some.toDF(*[f"nestrel {i}" for i in range(len(keys))])
+    same = [F.col(k).eqNullSafe(F.col(f"`nestrel {i}`")) for i, k in enumerate(keys)]
+    met = same[0]
+    for x in same[1:]:
+        met = met & x
+    return df.where(near).join(wanted, met, "left_semi")
+
+
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     """``select distinct col ... order by col`` (range-partitioned sort)."""
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(F.col(col).asc())

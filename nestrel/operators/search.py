@@ -25,19 +25,9 @@ def build_index(df: DataFrame, id_col: str, text_col: str, kind: str = "exact",
                 term_col: str = "term") -> DataFrame:
     """``(term, id)`` rows: the relational form of an inverted text index.
 
-    ``exact`` / ``light``: lexeme sets are computed in-row, so the index needs
-    no shuffle. ``porter2``: each document's distinct tokens are exploded
-    first and stemmed as a flat string column (Arrow batches of bounded size
-    however long the documents are); tokens of one document that share a
-    stem are then de-duplicated by a partially aggregated shuffle.
+    Lexeme sets are computed in-row by built-in expressions, so the index needs
+    no shuffle.
     """
-    if kind == "porter2":
-        from nestrel.functions.porter2 import stem_token
-        from nestrel.functions.search import TOKEN_SPLIT, without_stop_words
-        toks = df.select(id_col, F.explode(without_stop_words(
-            F.split(F.lower(F.col(text_col)), TOKEN_SPLIT))).alias("__tok"))
-        return (toks.select(stem_token(F.col("__tok")).alias(term_col), id_col)
-                    .dropDuplicates([term_col, id_col]))
     return df.select(F.explode(lexemes(F.col(text_col), kind)).alias(term_col), id_col)
 
 
@@ -51,8 +41,7 @@ def search(df: DataFrame, text_col: str, query: str, kind: str = "exact",
            id_col: str | None = None) -> DataFrame:
     """Rows whose text matches an OR / single-term query.
 
-    With ``kind="porter2"`` and an ``id_col``, matching goes through the
-    exploded-token index (bounded Arrow batches for any document size)
+    With an ``id_col`` and ``kind="porter2"``, matching goes through the index rows
     instead of the per-document lexeme arrays.
     """
     if kind == "porter2" and id_col is not None:
@@ -92,11 +81,13 @@ def search_count(matched: DataFrame, related: DataFrame, key: str, related_key:
 
 
 def write_index(index: DataFrame, path: str, term_col: str = "term",
-                partitions: int | None = None) -> None:
-    """Persist an index clustered by term: range-partitioned and sorted, so
-    each file and row group covers a narrow term range and a lookup
-    ``term IN (...)`` skips the rest through parquet min/max statistics.
-    (Partitioning directories by term would create one folder per term.)"""
+                partitions: int | None = None, id_col: str | None = None) -> None:
+    """Persist an index clustered by term and id: range-partitioned and sorted, so
+    each file and row group covers a narrow range of terms and a lookup
+    ``term IN (...)`` skips the rest through parquet min/max statistics, while the rows
+    of a frequent term are cut into ranges of ids, in as many files.
+    (Partitioning directories by term would create one folder per term.)
+    ``id_col`` is the index's other column unless named."""
     n = partitions or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (index.repartitionByRange(n, term_col).sortWithinPartitions(term_col)
-          .write.mode("overwrite").parquet(path))
+    by = [term_col, id_col or next(c for c in index.columns if c != term_col)]
+    index.repartitionByRange(n, *by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestrel.functions.jsonpath import concat_arrays, field
+from nestrel.operators.treeorder import numbered
 
 
 def node_schema(depth: int, child_key: str = "evolves_to",
@@ -77,24 +78,9 @@ def walk(docs: DataFrame, family_col: str = "id", body_col: str = "body", root_p
          child_key: str = "evolves_to", name_path: str = "$.species.name") -> DataFrame:
     """Every node of every tree as ``(family, level, parent, name)``, any depth.
 
-    Shape-agnostic: the body is parsed to VARIANT and walked with a recursive
-    CTE, one level per iteration (each iteration is a distributed join of the
-    frontier with its children), so no maximum depth has to be declared and
-    the parent edge - lost by a flat family id - is kept.
-
-    ``LIMIT ALL`` lifts Spark's limit on the rows of a recursive query. Trees deeper than
-    ``spark.sql.cteRecursionLevelLimit`` raise an error; none is cut. A body that is no
-    JSON has no nodes.
+    Shape-agnostic: no maximum depth has to be declared, and the parent edge - lost by a
+    flat family id - is kept. Nodes are numbered in one pass over each document
+    (``treeorder``), so there is no limit of recursion. A body that is no JSON has no nodes.
     """
-    spark = docs.sparkSession
-    src = docs.select(F.col(family_col).alias("fam"), F.col(body_col).alias("body"))
-    return spark.sql(f"""
-        WITH RECURSIVE nodes(fam, lvl, parent, node) AS (
-          SELECT fam, 1, CAST(NULL AS STRING), variant_get(try_parse_json(body), '{root_path}') FROM {{src}}
-          UNION ALL
-          SELECT n.fam, n.lvl + 1, variant_get(n.node, '{name_path}', 'string'), c.value
-          FROM nodes AS n, LATERAL variant_explode(variant_get(n.node, '$.{child_key}')) AS c
-        )
-        SELECT fam AS {family_col}, CAST(lvl AS BIGINT) AS level, parent,
-               variant_get(node, '{name_path}', 'string') AS name
-        FROM nodes WHERE node IS NOT NULL LIMIT ALL""", src=src)
+    nodes = numbered(docs, family_col, body_col, root_path.removeprefix("$."), child_key, name_path.removeprefix("$."))
+    return nodes.select(family_col, "level", F.col("parent_name").alias("parent"), "name")

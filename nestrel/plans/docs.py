@@ -157,6 +157,24 @@ def outline_docs(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").alias("id"), to_json_doc(body).alias("body"))
 
 
+def thread_docs(documents: DataFrame) -> DataFrame:
+    """``(id, body)``: a tree as deep as the text has lines. The root is the source; a line's
+    children are its sentences and then the next line."""
+    def name(x):
+        return F.concat(F.lit('{"species":{"name":'), F.substring(F.to_json(F.array(x)), 2, 2147483647))
+
+    def node(x):            # to_json wrote ["..."]: its last bracket is cut with the substring's first
+        return F.regexp_replace(name(x), r"\]$", "}")
+
+    lines = F.transform(_lines(), lambda l: F.concat(
+        node(l), F.lit(f',"{CHILD}":['),
+        F.array_join(F.transform(F.split(l, r"\. "), lambda s: F.concat(node(s), F.lit("}"))), ",")))
+    body = F.concat(node(F.col("source")), F.lit(f',"{CHILD}":['), F.array_join(lines, ","),
+                    F.repeat(F.lit("]}"), F.size(_lines()) + 1))
+    return documents.where("text IS NOT NULL AND source IS NOT NULL").select(
+        F.col("doc_id").alias("id"), F.concat(F.lit('{"chain":'), body, F.lit("}")).alias("body"))
+
+
 DESCRIBED_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("name", T.StringType()),

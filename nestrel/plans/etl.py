@@ -12,8 +12,9 @@ Mirrors the workload's load script as Spark jobs:
 5. malformed documents go to ``quarantine`` with the name of their source, and the
    report counts them;
 6. integrity checks (unique keys and names, foreign keys, lengths) run on the written
-   tables: the caller publishes ``out_dir`` only if they hold, so give each rebuild a new
-   folder. ``keep_staging=False`` removes the staged sources.
+   tables. ``rebuild`` gives every run a folder of its own and publishes it only if they
+   hold, so readers never meet a half-written or unsound version; ``run`` writes where it
+   is told. ``keep_staging=False`` removes the staged sources.
 
 No step collects data to the driver; the verdicts are small counts.
 """
@@ -32,6 +33,7 @@ from nestrel.operators import integrity as I
 from nestrel.plans import pipelines as P
 from nestrel.plans import shapes as SH
 from nestrel.sources import landing as L
+from nestrel.sources import publish as PB
 
 KEYS = {
     "pokedex": ["id"], "types": ["id"], "moves": ["id"], "abilities": ["id"],
@@ -77,9 +79,8 @@ def check(spark: SparkSession, out_dir: str) -> DataFrame:
              .select(F.lit(f"pk:{n}").alias("rule"), "violations") for n, k in KEYS.items()]
     parts += [I.unique_violations(tab[n], ["name"]).agg(F.count(F.lit(1)).alias("violations"))
               .select(F.lit(f"unique:{n}.name").alias("rule"), "violations") for n in NAME_LENGTH]
-    parts += [I.fk_orphan_count(tab[c], fk, tab[p], pk).select(F.lit(f"fk:{c}.{fk}").alias("rule"),
-                                                               F.col("orphans").alias("violations"))
-              for c, fk, p, pk in FOREIGN]
+    parts.append(I.fk_orphan_counts(tab, FOREIGN).select(F.concat(F.lit("fk:"), "child", F.lit("."), "fk").alias("rule"),
+                                                         F.col("orphans").alias("violations")))
     parts += [I.domain_violations(tab[n], KEYS[n], {"name": {"max_len": m}})
               .agg(F.count(F.lit(1)).alias("violations"))
               .select(F.lit(f"len:{n}.name<={m}").alias("rule"), "violations")
@@ -124,3 +125,17 @@ def run(spark: SparkSession, staged: dict[str, DataFrame], fetch: Callable[[str,
         for t in staging_tables or []:
             L.drop_table(spark, t)
     return check(spark, out_dir).unionByName(held)
+
+
+def rebuild(spark: SparkSession, staged: dict[str, DataFrame], fetch: Callable[[str, DataFrame], DataFrame], root: str,
+            tolerated: tuple[str, ...] = ("malformed documents",), keep_staging: bool = True,
+            staging_tables: list[str] | None = None) -> str:
+    """Rebuild every table in a new version under ``root`` and publish it if its checks hold; returns
+    its folder, raises ``NotPublished`` otherwise. Readers ask ``publish.read(spark, root, table)``. Malformed
+    documents are set aside in the version's quarantine and do not stop it, unless ``tolerated``
+    says so. Staging is removed after publishing only."""
+    at = PB.publish(spark, root, lambda path: run(spark, staged, fetch, path), tolerated)
+    if not keep_staging:
+        for t in staging_tables or []:
+            L.drop_table(spark, t)
+    return at

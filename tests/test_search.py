@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from nestrel.functions import search as S
-from nestrel.functions.porter2 import stem
+from tests.plain_porter2 import stem
 from nestrel.operators import search as FTS
 from tests.conftest import SF_MID
 
