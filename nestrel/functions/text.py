@@ -36,6 +36,11 @@ def url_id(url: Column, pattern: str = URL_ID_PATTERN) -> Column:
     return F.regexp_extract(url, pattern, 1).try_cast("int")
 
 
+def url_id_lost(url: Column, pattern: str = URL_ID_PATTERN) -> Column:
+    """Whether the URL has an id that is too large for an INTEGER, which ``url_id`` gives as NULL."""
+    return (F.regexp_extract(url, pattern, 1) != "") & url_id(url, pattern).isNull()
+
+
 def translate_chars(text: Column, src: str, dst: str) -> Column:
     return F.translate(text, src, dst)
 

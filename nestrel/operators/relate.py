@@ -19,10 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nestrel.operators.numbering import PART, PLACE, numbers_per_key, ranged
+from nestrel.operators.numbering import PART, PLACE, dense_numbers, numbers_per_key, ranged
+from nestrel.sources.publish import written
 
 from nestrel.functions import arrays as A
 
@@ -102,8 +104,18 @@ def rank_by_value(df: DataFrame, value_col: str, rank_col: str = "rk",
 
 
 def rank_at_most(df: DataFrame, value_col: str, k: int, rank_col: str = "rk") -> DataFrame:
-    """Rows whose global ascending rank is <= k, ties kept (``where rk <= k``)."""
-    return rank_by_value(df, value_col, rank_col).where(F.col(rank_col) <= k)
+    """Rows whose global ascending rank is <= k, ties kept (``where rk <= k``).
+
+    These are the rows up to the k-th smallest value, so that value (one scalar, from a top-k)
+    is all that the ranking has to know of the others. ``df``, often a large aggregation, is
+    evaluated once and written; its result is small where it is an aggregation.
+    """
+    held = written(df, "ranked")
+    v = F.col(value_col)
+    last = (held.select(v.alias("v")).orderBy(F.col("v").asc_nulls_last()).limit(k)
+            .agg(F.max("v").alias("v"), F.count("v").alias("n")).first())
+    some = held.where(v <= F.lit(last["v"])) if last["n"] == k else held     # fewer than k values: NULLs rank, too
+    return rank_by_value(some, value_col, rank_col).where(F.col(rank_col) <= k)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -153,6 +165,38 @@ def key_slice(df: DataFrame, keys: Sequence[str], start: int, stop: int, parts:
     return df.where(near).join(wanted, met, "left_semi")
 
 
+def page_directory(df: DataFrame, keys: Sequence[str], size: int, parts: int | None = None) -> DataFrame:
+    """page, n_rows, first (a struct of the keys), last: the pages of ``size`` rows into which ``df`` falls in
+    the order of its unique ``keys`` (NULLs first). Rows are numbered in ranges; a page is a group of ``size`` rows."""
+    numbered = dense_numbers(df.select(*keys), [F.col(k).asc_nulls_first() for k in keys], "nestrel row", 0, parts)
+    row, key = F.col("`nestrel row`"), F.struct(*keys)
+    page = F.floor((row - 1) / size).cast("bigint").alias("page")
+    return numbered.groupBy(page).agg(F.count(F.lit(1)).alias("n_rows"), F.min_by(key, row).alias("first"),
+                                      F.max_by(key, row).alias("last"))
+
+
+def client_page(df: DataFrame, keys: Sequence[str], size: int, after: Sequence | None = None) -> tuple[pa.Table, tuple | None]:
+    """(the next ``size`` rows in the order of ``keys`` as an Arrow table, the key to go on ``after``).
+
+    ``after`` is the key of the last row the client has; None begins. A page is a filter that reaches
+    the scan and a top-k, so no page costs more than the first, and no more than ``size``
+    rows come to the client. The keys must be unique and not NULL. The second value is
+    None when the page is the last one.
+    """
+    some = df
+    if after is not None:
+        beyond, equal = F.lit(False), F.lit(True)
+        for k, x in zip(keys, after):
+            beyond = beyond | (equal & (F.col(k) > F.lit(x)))
+            equal = equal & (F.col(k) == F.lit(x))
+        some = df.where((F.col(keys[0]) >= F.lit(after[0])) & beyond)
+    page = some.orderBy(*keys).limit(size + 1).toArrow()
+    if page.num_rows <= size:
+        return page, None
+    page = page.slice(0, size)
+    return page, tuple(page.column(k)[size - 1].as_py() for k in keys)
+
+
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     """``select distinct col ... order by col`` (range-partitioned sort)."""
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(F.col(col).asc())

@@ -6,10 +6,13 @@ They register themselves in the catalogue.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestrel.functions import porter2 as PO
 from nestrel.functions import search as S
 from nestrel.operators import blocks as B
+from nestrel.operators import keystore as KS
+from nestrel.operators import relate as R
 from nestrel.operators import search as FTS
 from nestrel.operators import segments as SG
 from nestrel.operators import treeorder as TO
@@ -236,3 +239,43 @@ WITH tokens AS (SELECT doc_id, unnest({TOKENS_SQL}) AS t FROM documents), words
 SELECT DISTINCT stem AS lexeme, doc_id FROM tokens JOIN stems USING (t)""")
 def q_fts_lexemes(spark, d):
     return FTS.build_index(t(spark, d, "documents"), "doc_id", "text", "porter2", "lexeme")
+
+# ============================================================== checks of a batch
+
+
+def _plain(df):
+    return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+
+
+@query("unique_check_batch", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 AND count(*) FILTER (WHERE l_linestatus = 'O') > 0""")
+def q_unique_check_batch(spark, d):
+    """Lines of status F are the table; the others arrive as a batch."""
+    lines = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    store = KS.open_store(spark, PB.scratch_path(spark, "keys"), ["l_orderkey", "l_linenumber"], _plain(lines))
+    store.add(lines.where("l_linestatus <> 'O'"), 0, check=False)       # as they are: they repeat keys, too
+    return store.violations(lines.where("l_linestatus = 'O'"))
+
+
+@query("fk_check_batch", """
+SELECT l_orderkey, count(*) AS n FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""")
+def q_fk_check_batch(spark, d):
+    """Orders arrive in two batches; lines of orders that are still pending have no parent."""
+    orders = t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    store = KS.open_store(spark, PB.scratch_path(spark, "keys"), ["o_orderkey"], _plain(orders))
+    for number, status in enumerate(("F", "O")):
+        store.add(orders.where(F.col("o_orderstatus") == status), number)
+    return store.missing(t(spark, d, "lineitem"), ["l_orderkey"])
+
+# ============================================================== pages of a result
+PAGE_SIZE = 64
+
+
+@query("page_directory", f"""
+SELECT page, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // {PAGE_SIZE} AS page FROM orders) GROUP BY page""")
+def q_page_directory(spark, d):
+    pages = R.page_directory(t(spark, d, "orders"), ["o_orderkey"], PAGE_SIZE)
+    return pages.select("page", "n_rows", F.col("first.o_orderkey").alias("first_key"), F.col("last.o_orderkey").alias("last_key"))

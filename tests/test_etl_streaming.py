@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from nestrel.plans import etl
@@ -94,6 +96,40 @@ def test_staging_tables_dropped_only_when_asked(spark, scratch):
     assert report["fk:pokemon_moves.move_id"] == 2
 
 
+def test_a_rebuild_is_published_only_if_it_is_sound(spark, scratch):
+    from nestrel.sources import publish as PB
+    staged = {"entity": docs(spark, POKEMON), "texts": docs(spark, SPECIES), "trees": docs(spark, EVO),
+              "listing": docs(spark, LISTING)}
+    store = {"move": {m["id"]: json.dumps(m) for m in MOVES}, "ability": {65: json.dumps(ABILITY)}}
+
+    def fetch(kind, manifest):
+        ids = [r.id for r in manifest.collect()]
+        return spark.createDataFrame([(i, store[kind][i]) for i in ids if i in store[kind]], "id int, body string")
+
+    def nothing(kind, manifest):
+        return spark.createDataFrame([], "id int, body string")
+
+    root = f"{scratch}/db"
+    with pytest.raises(PB.NotPublished, match="fk:pokemon_moves.move_id: 2"):
+        etl.rebuild(spark, staged, nothing, root)
+    assert PB.current(spark, root) is None
+    report = {r.rule: r.violations for r in etl.run(spark, staged, fetch, f"{scratch}/try").collect()}
+    broken = {r for r, n in report.items() if n and r != "malformed documents"}
+    first = etl.rebuild(spark, staged, fetch, root, tolerated=("malformed documents", *broken))
+    assert PB.read(spark, root, "pokedex").count() == spark.read.parquet(f"{scratch}/try/pokedex").count()
+    with pytest.raises(PB.NotPublished):
+        etl.rebuild(spark, staged, nothing, root)
+    assert PB.current(spark, root) == first
+
+
+def test_ids_beyond_integer_are_reported(spark):
+    listing = spark.createDataFrame([(1, json.dumps({"results": [{"name": "a", "url": "https://x/type/5/"},
+                                                                 {"name": "b", "url": "https://x/type/99999999999/"},
+                                                                 {"name": "c", "url": "https://x/none"}]}))], "id int, body string")
+    none = listing.limit(0)
+    assert etl.lost_ids(none, listing, none).first().violations == 1
+
+
 def test_readme_usage_flow(spark, scratch):
     """The calls shown in the README's usage section, on the fixtures."""
     from pyspark.sql import functions as F

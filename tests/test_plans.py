@@ -30,7 +30,32 @@ def test_rank_does_not_window_the_data(spark):
     df = C.QUERIES["bottom_k_ties"](spark, SF_SMALL)
     txt = df._jdf.queryExecution().optimizedPlan().toString()
     assert txt.count("Window ") <= 1
-    assert "BroadcastHashJoin" in plan(df) or "broadcast" in txt.lower()
+    # the counts are made once, and read up to the k-th smallest only
+    assert "lineitem" not in txt and "l_partkey" not in txt
+    assert "PushedFilters: [IsNotNull(ct), LessThanOrEqual(ct," in plan(df)
+
+
+def test_lineitem_is_read_once_beside_its_counts(spark):
+    txt = C.QUERIES["multi_join_detail"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert txt.count("l_extendedprice#") and txt.split("== Initial Plan ==")[-1].count("FileScan parquet [l_") == 1
+
+
+def test_foreign_keys_are_counted_without_a_join_of_the_children(spark):
+    p = plan(C.QUERIES["fk_orphans"](spark, SF_SMALL))
+    assert p.count("FileScan parquet") == 9 and p.count("Join") == 1        # each table once; the join is of the eight rules
+
+
+def test_numbering_needs_no_quantiles(spark):
+    for k in ("row_number_per_key", "rank_per_key", "assign_ids"):
+        p = plan(C.QUERIES[k](spark, SF_SMALL)).lower()
+        assert "quantile" not in p and "percentile" not in p, k
+
+
+def test_stems_and_blocks_stay_in_the_jvm(spark):
+    for k in ("fts_lexemes", "fts_block_index", "array_contains_blocks", "typed_load"):
+        p = plan(C.QUERIES[k](spark, SF_SMALL))
+        assert "Python" not in p and "Arrow" not in p, k
+    assert "Exchange hashpartitioning" not in plan(C.QUERIES["fts_lexemes"](spark, SF_SMALL))
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):

@@ -227,3 +227,23 @@ def test_foreign_keys_in_one_aggregation(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == len(tables)     # each read once
     text = {"c": tables["c"], "p": tables["p"].select(F.col("id").cast("string").alias("id"))}
     assert I.fk_orphan_counts(text, [("c", "a", "p", "id")]).first().orphans == one_by_one["c", "a"]
+
+
+# ------------------------------------------------------------------ pages
+def test_pages_are_the_sorted_rows(spark):
+    rows = sorted((i // 7, i * 31 % 101, f"x{i}") for i in range(101))
+    df = spark.createDataFrame(rows, "a int, b int, t string").repartition(5)
+    got, after = [], None
+    while True:
+        page, after = R.client_page(df, ["a", "b"], 20, after)
+        assert page.num_rows <= 20
+        got += [tuple(r.values()) for r in page.to_pylist()]
+        if after is None:
+            break
+    assert got == rows
+    directory = sorted(tuple(r) for r in R.page_directory(df, ["a", "b"], 20, parts=4).collect())
+    assert [(p, n, tuple(x), tuple(y)) for p, n, x, y in directory] == [
+        (i, len(some), some[0][:2], some[-1][:2]) for i, some in enumerate(rows[k:k + 20] for k in range(0, 101, 20))]
+    assert R.client_page(df.limit(0), ["a"], 5)[1] is None and R.page_directory(df.limit(0), ["a"], 5).count() == 0
+    plan = plan_of(df.where((F.col("a") >= 3)).orderBy("a", "b").limit(21))
+    assert "TakeOrderedAndProject" in plan
