@@ -230,8 +230,18 @@ def test_licenses_against_plain_python(spark, monkeypatch):
         w = token.findall(line.lower())
         return {*w, *map(" ".join, zip(w, w[1:]))}
 
+    def blocks(text):
+        """(first line, body) of the windows of wrapped lines."""
+        lines = text.split("\n")
+        for i in range(0, len(lines), 4):
+            some = [x if len(x) <= 120 and WORD.search(x) else "" for x in lines[i:i + 8]]
+            for body in regex.split(r"\n\n+", "\n".join(some)):
+                if "\n" in body.strip("\n") and regex.search(rf"\b(?:{licenses.LICENSING})\b", body.lower()):
+                    yield i, body
+
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
-    every = sorted({g for d in docs for line in (d.text or "").split("\n") for g in line_grams(line)})
+    every = sorted({g for d in docs for body in [*(d.text or "").split("\n"), *(b for _, b in blocks(d.text or ""))]
+                    for g in line_grams(body)})
     hashed = hasher.transform(spark.createDataFrame([([g],) for g in every], "grams array<string>")).select("grams", "f")
     index = {r.grams[0]: int(r.f.indices[0]) for r in hashed.collect()}
 
@@ -251,16 +261,71 @@ def test_licenses_against_plain_python(spark, monkeypatch):
 
     named = 0
     for d in docs:
-        lines = [x for x in (d.text or "").split("\n") if WORD.search(x)]
-        found = [f for f in map(family, lines) if f]
+        lines = [(i, x) for i, x in enumerate((d.text or "").split("\n")) if WORD.search(x)]
+        over = [(i, *f) for i, f in ((i, family(b)) for i, b in blocks(d.text or "")) if f and f[0] != "unknown"]
+        alone = [(i, *f) for i, f in ((i, family(x)) for i, x in lines) if f]
+        alone = [h for h in alone if h[1] != "unknown" or not any(i <= h[0] < i + 8 for i, *_ in over)]
         r = got[d.doc_id]
-        assert (r.n_paragraphs, r.n_licensed) == (len(lines), len(found)), d.doc_id
-        assert r.licenses == (",".join(sorted({f for f, _ in found})) or None)
-        assert r.confidence is None or abs(r.confidence - max(p for _, p in found)) < 1e-9
-        named += bool(found)
+        assert (r.n_paragraphs, r.n_licensed, r.n_wrapped) == (len(lines), len(alone), len({h[0] for h in over})), d.doc_id
+        assert r.licenses == (",".join(sorted({h[1] for h in alone + over})) or None)
+        assert r.confidence is None or abs(r.confidence - max(h[2] for h in alone + over)) < 1e-9
+        named += bool(alone)
     assert len(got) == len(docs) and named
 
 
+NOTICES = {
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "gpl-2.0": """This program is free software; you can redistribute it and/or modify it
+under the terms of the GNU General Public License as published by the
+Free Software Foundation; either version 2 of the License, or (at your
+option) any later version.""",
+    "lgpl": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "agpl-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""}
+
+
+def test_wrapped_notices_are_named(spark):
+    rng = random.Random(3)
+    def text():
+        return "\n".join(prose(rng, EN, 12) for _ in range(3))
+
+    rows = []
+    for i, (family, notice) in enumerate(sorted(NOTICES.items())):
+        comment = "\n".join(f" * {x}" for x in notice.split("\n"))
+        rows += [(10 * i, notice, family), (10 * i + 1, f"{text()}\n\n{notice}\n\n{text()}", family),
+                 (10 * i + 2, f"/*\n * Copyright (C) 2001 Some One\n *\n{comment}\n */\n{text()}", family),
+                 (10 * i + 3, "\n" * i + text() + "\n" + notice, family)]
+    rows += [(1000 + i, "\n".join(prose(rng, EN, 8) for _ in range(12)), None) for i in range(50)]
+    rows += [(2000, "The conditions of the licence were met\nand the permission was granted by the market\nbefore winter", None)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    missed = [(i, family, got[i].licenses) for i, _, family in rows if family and family not in (got[i].licenses or "").split(",")]
+    other = [(i, family, got[i].licenses) for i, _, family in rows
+             if set((got[i].licenses or "").split(",")) - {"", family, "unknown"}]
+    assert not missed and not other, (missed, other)
+    assert not [i for i, _, family in rows if i < 2000 and not family and got[i].licenses]
+
+
 def test_licenses_of_odd_rows(spark):
     text = "Some prose here.\n\nReleased under the MIT License.\n \nmore prose"
     rows = [(1, text, 1), (2, None, 1), (3, "", 1), (4, " \n ", 1), (1, text, 2), (None, text, 1), (5, "only prose here", 1)]
