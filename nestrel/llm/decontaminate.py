@@ -6,12 +6,14 @@ their values are the *slots*. Windows of ``window`` tokens are hash-joined with
 the benchmark items, once with the tokens as they are (EXACT) and twice as templates (TYPED:
 names are capitalised words that do not begin a sentence or line; CAPITAL: all capitalised
 words, wherever they stand); so a question is also found with other numbers, names or units
-in it, and in other lines or letter case. Windows with the item's own values
-count. Of the others on one alignment those count whose slots are consistent: a value of the
-item stands for one value in the document, that which it stands item stands for one value in the document, that which it stands for most often. A document
-leaks an item if the matches cover at least ``percent`` of the item's windows, or ``run``
-consecutive tokens of the item stand in it as they are.
- if the matches cover at least ``percent`` of the item's windows.
+in it, and in other lines or letter case. A template needs ``literals`` words that are no
+placeholders; items that are numbers, names and units almost throughout, and have no such window,
+are looked up by their windows with one word or more.
+
+Windows with the item's own values count. Of the others on one alignment those count whose
+slots are consistent: a value of the item stands for one value in the document, that which
+it stands for most often. A document leaks an item if the matches cover at least ``percent``
+of the item's windows, or if ``run`` consecutive tokens of the item stand in it as they are.
 
 A task keeps only windows that pass a bitmap of the benchmark's window hashes. The
 bitmap has a fixed largest size; beyond what it can tell apart it lets more windows
@@ -152,11 +154,12 @@ def _window_rows(df: DataFrame, n_of, literals: int, bitmap, names: tuple[str, s
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, percent: int = 50, run: int = 13,
           id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, matched, n_windows, same_values): the items that documents leak.
+    """(doc_id, item_id, matched, n_windows, same_values, by_template): the items that documents leak;
+    ``by_template`` is how many of the item's windows the templates find, without the EXACT lookup.
 
     An item shorter than ``window`` tokens is one window of all its tokens. Windows with
     fewer than ``literals`` words (or all words of a shorter window) are found with their own
-    values only; ``n_windows`` are all of the item's windows or those with enough words,
+    values only, unless the item has no others: then one word will do; ``n_windows`` are all of the item's windows or those with enough words,
     whichever ``matched`` covers more of. Null or empty texts leak nothing. Rows of one id are one
     document (or item). Rows with null ids are left out here. Other columns are ignored.
     """
@@ -171,8 +174,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
             if (size == n).any():
                 yield n, size == n
 
+    every = _window_rows(items, of_items, 1, None, ("item_id", "item_pos"))
+    by_item = Window.partitionBy("item_id")
+    wordy = F.col("words") >= F.least(F.lit(literals), F.col("n"))
+    fit = (F.col("look") == EXACT) | wordy | ~F.max(wordy & (F.col("look") != EXACT)).over(by_item)
     item = materialize(
-        _window_rows(items, of_items, literals, None, ("item_id", "item_pos"))
+        every.withColumn("words", F.col("n") - F.size("slots")).withColumn("fit", fit).where("fit").drop("fit", "words")
         .withColumn("typed", F.max(F.col("look") == TYPED).over(Window.partitionBy("item_id", "item_pos"))), "items")
     total = item.groupBy("item_id").agg(
         F.countDistinct("item_pos").alias("n_windows"),
@@ -191,7 +198,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
 
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
                                                           F.col(text_col).alias("text"))
-    found = _window_rows(source, lambda *_: lengths, literals, shared, ("doc_id", "doc_pos"))
+    found = _window_rows(source, lambda *_: lengths, 1, shared, ("doc_id", "doc_pos"))
     match = materialize(
         found.join(item.withColumnRenamed("slots", "item_slots"), ["hash", "n", "look"])
         .where(F.size("slots") == F.size("item_slots"))
@@ -211,7 +218,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     good = match.where("same").unionByName(match.where("NOT same").join(torn, [*key, "item_pos"], "left_anti"))
     good = good.groupBy("doc_id", "item_id").agg(
         F.countDistinct("item_pos").alias("matched"), F.countDistinct(F.expr("CASE WHEN typed THEN item_pos END"))
-        .alias("typed_matched"), F.min("same").alias("same_values"))
+        .alias("typed_matched"), F.min("same").alias("same_values"),
+        F.countDistinct(F.expr(f"CASE WHEN look <> {EXACT} THEN item_pos END")).alias("by_template"))
     # windows at consecutive positions of one alignment are one run of tokens
     line = Window.partitionBy("doc_id", "item_id", "shift").orderBy("item_pos")
     longest = (match.where(F.col("look") == EXACT).select("doc_id", "item_id", "shift", "item_pos", "n").distinct()
@@ -222,20 +230,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     by_typed = F.expr("typed_windows > 0 AND typed_matched * n_windows >= matched * typed_windows")
     return (good.join(total, "item_id").join(longest, ["doc_id", "item_id"], "left")
             .select("doc_id", "item_id", F.when(by_typed, F.col("typed_matched")).otherwise(F.col("matched")).alias("matched"),
-                    F.when(by_typed, F.col("typed_windows")).otherwise(F.col("n_windows")).alias("n_windows"), "same_values", "longest")
+                    F.when(by_typed, F.col("typed_windows")).otherwise(F.col("n_windows")).alias("n_windows"), "same_values", "by_template", "longest")
             .where((F.col("matched") * 100 >= F.col("n_windows") * percent) | (F.col("longest") >= run)).drop("longest"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, n_items, item_id (of those with
     the greatest share of windows the smallest), coverage, match (``exact`` where all slot
-    values are the item's, ``reparameterised`` else). Null ids are never contaminated."""
+    values are the item's, ``reparameterised`` else), by_template (windows of that item that its
+    templates find). Null ids are never contaminated."""
     share = F.col("matched") / F.col("n_windows")
-    best = F.struct((-share).alias("s"), "item_id", share.alias("coverage"), "same_values")
+    best = F.struct((-share).alias("s"), "item_id", share.alias("coverage"), "same_values", "by_template")
     by_doc = (leaks(docs, benchmark, id_col=id_col, **options).groupBy("doc_id")
               .agg(F.count(F.lit(1)).alias("n_items"), F.min(best).alias("best")))
     return (docs.select(F.col(id_col).cast("long").alias("doc_id")).join(by_doc, "doc_id", "left")
             .select("doc_id", F.col("n_items").isNotNull().alias("contaminated"),
                     F.coalesce("n_items", F.lit(0)).alias("n_items"), "best.item_id", "best.coverage",
                     F.when(F.col("best.same_values"), "exact").when(~F.col("best.same_values"), "reparameterised")
-                    .alias("match")))
+                    .alias("match"), "best.by_template"))

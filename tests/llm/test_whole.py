@@ -1,5 +1,6 @@
 """Rows that earlier versions of the corpus operators did not look at in full."""
 
+import random
 import zlib
 
 import numpy as np
@@ -48,7 +49,39 @@ def test_leaks_of_windows_with_few_words(spark):
     texts = ["They asked: compute 12 + 30 - 7. Nothing else", "compute 12 + 30 - 8",
              "then 3 km 4 kg 5 ml 6 mm 7 cm of rope", "then 3 km 4 kg 5 ml 6 mm 7 cm and 2 mm of rope", "about 17", "about 18"]
     got = found(spark, items, texts)
-    assert {0, 2, 4} <= got and not got & {1, 5}
+    # the first item has one word only, and is found with other numbers, too
+    assert {0, 1, 2, 4} <= got and 5 not in got
+
+
+def test_reparameterised_questions_are_found_by_templates_alone(spark):
+    rng = random.Random(4)
+    names, things = "Anna Boris Clara David Elena Felix Greta Hugo".split(), "apples books coins pears stamps shells tickets marbles".split()
+    shapes = ["{0} has {3} {2} and gives {4} of them to {1} before the market closes, how many {2} does {0} keep",
+              "A train from {0}town travels {3} km in {4} hours. How long does it take for {5} km at the same speed",
+              "Compute {3} + {4} - {5}.", "The farmer {1} sells {3} {2} at {4} euros each and buys {5} {2} back from {0} later that day"]
+
+    def question(shape, rng):
+        a, b = rng.sample(names, 2)
+        return shape.format(a, b, rng.choice(things), *(rng.randrange(2, 900) for _ in range(3)))
+
+    items = [question(s, random.Random(i)) for i, s in enumerate(shapes)]
+    thing = {i: next((t for t in things if t in x), "") for i, x in enumerate(items)}
+    leaks = []
+    for k in range(80):
+        i = k % len(shapes)
+        text = question(shapes[i], rng)
+        for t in things:                               # things are words, not slots: they stay
+            text = text.replace(t, thing[i]) if thing[i] else text
+        leaks.append(f"so we wonder whether it rains today\n{text}\nand then nothing else was said at all")
+    clean = [" ".join(rng.choice(["river", "market", "says", "long", "3", "Anna", "km", "the", "before", "17"]) for _ in range(60))
+             for _ in range(80)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(leaks + clean)), "doc_id long, text string")
+    rows = decontaminate.decontaminate(docs, bench).collect()
+    hit = [r for r in rows if r.contaminated]
+    assert not [r for r in hit if r.doc_id >= 80]
+    assert len(hit) >= 72 and all(r.item_id == r.doc_id % 4 for r in hit)
+    assert sum(r.match == "reparameterised" for r in hit) >= 0.9 * len(hit) and all(r.by_template > 0 for r in hit)
 
 
 def test_leaks_whatever_begins_a_sentence_or_line(spark):
