@@ -29,9 +29,10 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def cut(payload: bytes, size: int) -> Iterator[bytes]:
+def cut(payload: bytes | memoryview, size: int) -> Iterator[bytes | memoryview]:
     """Chunks of at most ``size`` bytes (at least one), no UTF-8 character and no
-    ``WARC/1.1`` whole across a chunk: the latter is cut after its first letter."""
+    ``WARC/1.1`` whole across a chunk: the latter is cut after its first letter. The chunks of a
+    memoryview are views into it, so no payload is copied as a whole."""
     at, marks = 0, [m.start() + 1 for m in re.finditer(re.escape(VERSION), payload)]
     while True:
         to = min(at + size, len(payload))
@@ -72,7 +73,7 @@ def chunk_table(records: DataFrame, chunk_bytes: int) -> DataFrame:
             out, held = [], 0
             for row in zip(*batch.columns):
                 page, url, payload, n, digest, original = row
-                whole = payload.as_py() if original.as_py() is None else b""
+                whole = memoryview(payload.as_buffer() if original.as_py() is None else b"")
                 so_far, done = hashlib.sha1(), 0
                 for i, data in enumerate(cut(whole, chunk_bytes), 1):
                     so_far.update(data)
