@@ -117,9 +117,12 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "do
     and stay. Null, empty and blank texts come back as they are; a text whose lines all
     go becomes empty. Null ids come first in the order. Rows that repeat an id and its
     text are one document and lose the same lines; rows of one id with different texts are
-    documents of their own, ordered by a hash of the text. Names that begin with two
-    underscores are used inside and must not stand in ``docs``. No rows give no rows.
+    documents of their own, ordered by a hash of the text. Other columns may have any name.
+    No rows give no rows.
     """
+    names = docs.columns
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])      # so that none is one of the names used here
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
     gone = materialize(repeated_lines(docs, min_words, id_col, text_col), "gone")
     d, t = _document(id_col, text_col)
     rows = docs.select("*", d, t, _lines(F.col(text_col)).alias("__lines"))
@@ -131,7 +134,7 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = 10, id_col: str = "do
               CASE WHEN i = size(__gone) THEN size(__lines) ELSE __gone[i] END
               - CASE WHEN i = 0 THEN 0 ELSE __gone[i - 1] + 1 END)))""")
     lines = F.when(F.col("__gone").isNull(), F.col("__lines")).otherwise(kept)
-    out = [F.array_join(lines, "\n").alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
+    out = [(F.array_join(lines, "\n") if c == text_col else F.col(c)).alias(name) for c, name in zip(docs.columns, names)]
     if counts:
         wordy = F.size(F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
         out += [F.when(F.col("__lines").isNull(), 0).otherwise(wordy).cast("long").alias(counts[0]),
