@@ -11,7 +11,7 @@
    What remains is confirmed on the full shingle sets.
 4. No bucket is expanded into all its pairs. In two rounds every document is held
    against at most two bucket leaders: the smallest one, and the one that leads most of
-   its buckets (from the second round on leaders come from a bucket's largest component).
+   its buckets (in the second round leaders come from a bucket's largest star of links).
    That makes one component of a large group of near copies in linearly many comparisons. Then only
    members of *different* components that still share a bucket are compared, from the
    smaller side: pairs inside a component can add nothing.
@@ -37,6 +37,7 @@ from nestrel.llm.shingles import mix, normal, shingle_hashes
 
 BITS, SIGMAS = 4, 4.0
 ID_BITS = 1 << 23        # of the bitmap that tells which texts are looked at again
+MOST_HELD = 1 << 20      # shingle hashes that a task keeps of texts it may meet again
 
 
 def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,12 +170,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) ->
     """The pairs (a, b) whose full sets pass 100 * |A n B| >= percent * |A u B|."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict = {}
+        held = 0                                  # hashes in ``sets``
 
         def of(key, text):
+            nonlocal held
             if key not in sets:
-                if len(sets) >= 200:
+                if held >= MOST_HELD:
                     sets.clear()
+                    held = 0
                 sets[key] = shingle_hashes(normal(text.as_py()), shingle)
+                held += len(sets[key])
             return sets[key]
 
         for batch in batches:
@@ -210,11 +215,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
     words = -(-n_minima * BITS // 64)
     sig = materialize(signatures(docs, shingle, bands, rows, n_minima, id_col, text_col), "signatures")
     full = sig.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = materialize(full.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    # one row per class: its representative, and what all members share
-    reps = materialize(
-        full.join(classes, (full.set_key == classes.set_key) & (full.doc_id == classes.rep), "left_semi")
-        .dropDuplicates(["set_key"]).select("doc_id", "set_key", "n_shingles", "buckets", "packed"), "reps")
+    low = full.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    # one row per class of equal sets: its representative, and what all members share
+    reps = materialize(full.join(low, ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key"])
+                       .select("doc_id", "set_key", "n_shingles", "buckets", "packed"), "reps")
 
     member = reps.select(F.explode("buckets").alias("bucket"), "doc_id")
     shared = materialize(member.join(
@@ -224,15 +228,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
               .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
 
     def confirm(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
         texts = materialize(texts_of(source, wanted), "texts")
         return materialize(confirmed(pairs, texts, percent, shingle), "confirmed")
 
+    def mates_in(found: DataFrame) -> DataFrame:
+        return shared.join(found.withColumnRenamed("node", "doc_id"), "doc_id")
+
     nodes = reps.select(F.col("doc_id").alias("node")).distinct()
     first = nodes.select("node", F.col("node").alias("component"))
     links = None
     for rounds in range(2):
-        mates = shared.join(first.withColumnRenamed("node", "doc_id"), "doc_id")
+        mates = mates_in(first)
         parts = mates.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"))
         lead = parts.groupBy("bucket").agg(F.max(F.struct("n", (-F.col("low")).alias("neg"), "component")).alias("x")).select(
             "bucket", (-F.col("x.neg")).alias("leader"), F.col("x.component").alias("main"))
@@ -246,36 +255,48 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = 5, bands:
                  .where(plausible(n_minima, words, percent)).select(F.col("a"), F.col("b")))
         star = confirm(materialize(pairs, "star"))
         links = star if links is None else links.union(star).distinct()
-        first = materialize(components(nodes, links), "components")
+        if rounds == 0:
+            # leaders of the next round come from a bucket's largest star: no labels are followed yet
+            hub = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("hub"))
+            first = materialize(nodes.join(hub, "node", "left").select("node", F.coalesce("hub", "node").alias("component")),
+                                "stars")
+    first = materialize(components(nodes, links), "components")
 
     # what is left: bucket mates in different components, found from the smaller side
-    mates = shared.join(first.withColumnRenamed("node", "doc_id"), "doc_id")
+    mates = mates_in(first)
     mixed = (mates.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("main"))
              .where("parts > 1").drop("parts"))
     mates = materialize(mates.join(mixed, "bucket").join(reps.drop("set_key"), "doc_id"), "mates")
-    # a pair is looked at in the smallest of the buckets that it shares
-    once = F.array_min(F.array_intersect("a.buckets", "b.buckets")) == F.col("a.bucket")
-    small = mates.where("component <> main")
-    rest = (small.alias("a").join(mates.alias("b"), (F.col("a.bucket") == F.col("b.bucket"))
-                                  & (F.col("a.component") != F.col("b.component"))
-                                  & ((F.col("b.component") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
-                                  & plausible(n_minima, words, percent) & once)
-            .select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b"))
-            .distinct())
-    more = confirm(materialize(rest, "rest"))
-    label = first.select(F.col("node").alias("k"), "component")
-    joined = (more.join(label.select(F.col("k").alias("a"), F.col("component").alias("ca")), "a")
-              .join(label.select(F.col("k").alias("b"), F.col("component").alias("cb")), "b")
-              .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-    final = components(first.select(F.col("component").alias("node")).distinct(), joined)
-    every = links.union(more).distinct()
+    every, final = links, None
+    if not mates.isEmpty():
+        # a pair is looked at in the smallest of the buckets that it shares
+        once = F.array_min(F.array_intersect("a.buckets", "b.buckets")) == F.col("a.bucket")
+        small = mates.where("component <> main")
+        rest = (small.alias("a").join(mates.alias("b"), (F.col("a.bucket") == F.col("b.bucket"))
+                                      & (F.col("a.component") != F.col("b.component"))
+                                      & ((F.col("b.component") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
+                                      & plausible(n_minima, words, percent) & once)
+                .select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b"))
+                .distinct())
+        rest = materialize(rest, "rest")
+        if not rest.isEmpty():
+            more = confirm(rest)
+            label = first.select(F.col("node").alias("k"), "component")
+            joined = (more.join(label.select(F.col("k").alias("a"), F.col("component").alias("ca")), "a")
+                      .join(label.select(F.col("k").alias("b"), F.col("component").alias("cb")), "b"))
+            joined = materialize(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "joined")
+            every = links.union(more).distinct()
+            if not joined.isEmpty():
+                final = components(first.select(F.col("component").alias("node")).distinct(), joined)
     degree = (every.select("a").union(every.select("b")).groupBy(F.col("a").alias("rep"))
               .agg(F.count(F.lit(1)).alias("n_links")))
-    by_rep = (first.join(final.select(F.col("node").alias("component"), F.col("component").alias("component_id")),
-                         "component")
-              .select(F.col("node").alias("rep"), "component_id").join(degree, "rep", "left"))
-    by_class = classes.join(by_rep, "rep")
+    if final is None:
+        by_rep = first.select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
+    else:
+        by_rep = (first.join(final.select(F.col("node").alias("component"), F.col("component").alias("component_id")), "component")
+                  .select(F.col("node").alias("rep"), "component_id"))
+    by_class = reps.select("set_key", F.col("doc_id").alias("rep")).join(by_rep, "rep").join(degree, "rep", "left")
     out = sig.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
