@@ -23,6 +23,8 @@ def work_dir(spark: SparkSession) -> str:
     session. Only where none is set (tests, one machine) a local one is made."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="nestrel-llm-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -40,6 +42,22 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without_and_with(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = 1 << 23) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``docs`` whose id is surely not among ``ids``, the rows that may be). A bitmap over the ids'
+    last bits tells them apart, at most ``bits`` / 64 rows that are broadcast; so only the second ones
+    have to be shuffled with their texts in a join that decides. Null ids are in neither table of
+    ids, and in the first result."""
+    last = F.col(id_col).cast("long").bitwiseAND(F.lit(bits - 1))
+    word, bit = F.shiftright(last, 6).cast("int"), last.bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bitmap = ids.where(F.col(id_col).isNotNull()).groupBy(word.alias("nestrel word")).agg(F.bit_or(one).alias("nestrel bits"))
+    bitmap = materialize(bitmap, "bitmap")
+    marked = docs.join(F.broadcast(bitmap), word == F.col("`nestrel word`"), "left")
+    maybe = F.coalesce(F.col("`nestrel bits`").bitwiseAND(one) != 0, F.lit(False))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.where(~maybe).select(*names), marked.where(maybe).select(*names)
+
+
 def word_array(text: Column) -> Column:
     """Words of a text in order; no words for null or blank texts."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
