@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestrel.llm import decontaminate, langid, linededup, minhash, packing
-from nestrel.llm.common import materialize, read
+from nestrel.llm.common import materialize, read, without_and_with
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,25 +37,31 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays, that with the smallest id; of rows that
-    repeat its id one."""
+    repeat its id one, any of them. Null, empty and blank texts are in
+    no component and stay; rows without an id stay. No rows give no rows."""
     found = materialize(minhash.near_duplicates(docs).select("doc_id", "kept"), "near")
     away = found.where("doc_id IS NOT NULL AND NOT kept").select("doc_id")
-    left = docs.join(away, "doc_id", "left_anti")
     often = materialize(found.where("doc_id IS NOT NULL AND kept").groupBy("doc_id")
                         .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "often")
+    rest, some = without_and_with(docs, away.union(often))
+    left = some.join(away, "doc_id", "left_anti")
     once = left.join(often, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(left.join(often, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    again = left.join(often, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return rest.unionByName(once).unionByName(again)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak a benchmark item go."""
+    """Documents that leak a benchmark item go, all rows of such an id. Null and empty texts and
+    rows without an id stay; so does everything if the benchmark is empty."""
     found = decontaminate.leaks(docs, read(spark, sf_dir, "benchmark"))
     away = materialize(found.select("doc_id").distinct(), "leaks")
-    return docs.join(away, "doc_id", "left_anti").select(*docs.columns)
+    rest, some = without_and_with(docs, away)
+    return rest.unionByName(some.join(away, "doc_id", "left_anti").select(*docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, one row each."""
+    """Pieces of token sequences, one row each. A null or empty text is its end token alone;
+    repeated rows are packed as often as they come, a null id stays null."""
     return packing.pack(docs)
 
 
