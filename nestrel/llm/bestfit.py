@@ -166,6 +166,6 @@ def pack_best_fit(docs: DataFrame, tokenizer_path: str | None = None, pattern: s
 
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return (pieces.join(base, ["task", "length"])
+    return (pieces.join(base.hint("merge"), ["task", "length"])       # a row per task and length: never a broadcast
             .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("number"))
             .mapInArrow(place, PLACED))
