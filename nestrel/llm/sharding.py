@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from nestrel.llm.common import materialize
 
+SALTS = 16               # places at which the rows of a repeated text meet
+
 
 class Ends:
     """Known running totals (sorted, with 0 and the grand total); ``hidden[i]``: more
@@ -168,8 +170,13 @@ def shard_bytes(docs: DataFrame, k: int = 40, id_col: str = "doc_id", text_col:
         F.coalesce(F.unhex(F.sha2(body, 256)), F.lit(b"")).alias("text_key"))
     low = F.lit(-(1 << 63)).cast("long")
     rows = materialize(rows.withColumn("id_key", F.coalesce("doc_id", low)), "sizes")
-    first = rows.groupBy("text_key").agg(F.min("id_key").alias("group_id"))
-    ordered = running(rows.join(first, "text_key"), ["group_id", "text_key", "id_key"])
+    # only texts that stand more than once have to learn their group; their rows, however many,
+    # meet it in ``SALTS`` places
+    first = (rows.groupBy("text_key").agg(F.min("id_key").alias("group_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id_key"), F.lit(SALTS)).cast("int"))
+    grouped = salted.join(first, ["text_key", "salt"], "left").withColumn("group_id", F.coalesce("group_id", "id_key")).drop("salt")
+    ordered = running(grouped, ["group_id", "text_key", "id_key"])
 
     # a group's rows are neighbours, so their running totals meet without a gap
     ends = materialize(ordered.groupBy("group_id", "text_key").agg(
