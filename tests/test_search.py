@@ -100,3 +100,18 @@ def test_porter2_search_paths_agree(spark):
     a = {r.doc_id for r in FTS.search(docs, "text", q, "porter2").collect()}
     b = {r.doc_id for r in FTS.search(docs, "text", q, "porter2", id_col="doc_id").collect()}
     assert a == b and a
+
+
+def test_stemmer_tries_no_pattern_of_suffixes(spark):
+    """A step compares the word's end before anything else; no expression searches a word for a list of suffixes."""
+    import random
+
+    from nestrel.functions import porter2 as PO
+    rng = random.Random(3)
+    ends = sorted({a for a, _ in PO.STEP2 + PO.STEP3} | set(PO.STEP4) | set(PO.STEP1B) | {"", "s", "ies", "y", "e", "ll", "'s", "ou"})
+    words = sorted({"".join(rng.choice("aeiouybdlnrstw'") for _ in range(rng.randint(0, 6))) + rng.choice(ends) for _ in range(3000)}
+                   | set(PO.EXCEPTIONS) | PO.EXCEPTIONS_AFTER_1A | {p + e for p in PO.R1_PREFIXES for e in ends})
+    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", PO.stem_token(F.col("w")).alias("s"))
+    assert [(r.w, r.s) for r in df.collect() if r.s != stem(r.w)] == []
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "ization|" not in p and "ement|" not in p and "eedly|" not in p
