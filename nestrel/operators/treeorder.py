@@ -9,8 +9,9 @@ numbers a question about a tree is a range condition inside a family:
 * its ancestors are those with ``pre < a.pre <= last``,
 * leaves have ``pre = last``, a level is an equality, document order is ``pre``.
 
-Nodes are numbered by one scan over a document's JSON tokens, held on an explicit stack: no
-recursion, no limit of depth, no subtree copied from level to level, no shuffle.
+Nodes are numbered in one pass over a document, held on an explicit stack: no limit of depth, no
+subtree copied from level to level, no shuffle. What the JSON reader refuses, say because it
+nests too deep for it, is scanned token by token.
 """
 
 from __future__ import annotations
@@ -27,6 +28,14 @@ _TOKEN = re.compile(r"""[ \t\n\r]*(?:("(?:[^"\\\x00-\x1f]|\\.)*")|([{}\[\],:])|(
 _END = {"{": "}", "[": "]"}
 
 
+def _refused(constant: str):
+    raise ValueError(constant)
+
+
+# objects come as tuples of (key, value), repeated keys and all; numbers as they are written
+_READ = json.JSONDecoder(object_pairs_hook=tuple, parse_float=str, parse_int=str, parse_constant=_refused).decode
+
+
 def number_nodes(body: str | None, root: Sequence[str], child: str, name: Sequence[str]) -> list[list]:
     """[pre, last, level, parent, name] of every node of one document, in document order.
 
@@ -34,6 +43,35 @@ def number_nodes(body: str | None, root: Sequence[str], child: str, name: Sequen
     array ``child``; its name is the value at its keys ``name``. What is no JSON document
     has no nodes.
     """
+    try:
+        doc = _READ(body or "")
+    except (ValueError, RecursionError):
+        return scanned_nodes(body, root, child, name)
+
+    def at(objects: list, keys: Sequence[str]) -> list:         # what lies there, in document order
+        for key in keys:
+            objects = [v for o in objects if type(o) is tuple for k, v in o if k == key]
+        return objects
+
+    found: list[list] = []
+    todo = [(o, 1, None) for o in reversed(at([doc], root)) if type(o) is tuple] if root else []
+    while todo:
+        obj, level, up = todo.pop()
+        names = [v for v in at([obj], name) if type(v) is not tuple and type(v) is not list]
+        value = names[-1] if names else None
+        pre = len(found) + 1
+        found.append([pre, pre, level, up, str(value).lower() if type(value) is bool else value])
+        kids = [(o, level + 1, pre) for k, v in obj if k == child and type(v) is list for o in v if type(o) is tuple]
+        kids.reverse()
+        todo += kids
+    for _, last, _, up, _ in reversed(found):                   # a node ends where its last child does
+        if up is not None and found[up - 1][1] < last:
+            found[up - 1][1] = last
+    return found
+
+
+def scanned_nodes(body: str | None, root: Sequence[str], child: str, name: Sequence[str]) -> list[list]:
+    """The same rows by a scan over the tokens, at any depth."""
     found: list[list] = []
     stack: list[tuple] = []             # open containers: (bracket, key in the one around it, node or None)
     key, want, at = None, "value", 0    # want: value, first (or the end), key, colon, next (or the end)

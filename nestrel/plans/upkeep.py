@@ -90,7 +90,8 @@ WITH lines AS (SELECT doc_id, unnest({_LINES}) AS line FROM documents),
                SELECT doc_id, line, unnest(string_split(line, '. ')), 1 FROM lines)
 SELECT doc_id AS id, ancestor, name, CAST(steps AS BIGINT) AS steps FROM below WHERE starts_with(ancestor, 'Th')""")
 def q_tree_descendants(spark, d):
-    nodes = TO.numbered(D.outline_docs(t(spark, d, "documents")), child_key=D.CHILD)
+    # both sides of the join read the nodes, so they are numbered once
+    nodes = PB.written(TO.numbered(D.outline_docs(t(spark, d, "documents")), child_key=D.CHILD), "nodes")
     return TO.descendants(nodes, nodes.where(F.col("name").startswith("Th"))).select("id", "ancestor", "name", "steps")
 
 

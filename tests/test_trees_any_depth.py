@@ -120,3 +120,26 @@ def test_intervals_say_what_the_tree_says(spark):
             kids[p] = kids.get(p, 0) + 1
     assert {(r.id, r.pre): r.n_children for r in TO.branches(nodes).collect()} == {k: n for k, n in kids.items() if n > 1}
     assert nodes.where(F.col("parent_name").isNotNull()).count() > 0
+
+
+def test_parsed_and_scanned_documents_have_the_same_nodes():
+    """Odd keys, repeated keys, numbers as they are written, escapes the reader refuses."""
+    odd = ['{"chain":{"species":{"name":1.50,"name":"b"},"species":{"name":-2e3}},"chain":{"species":{"name":true},"evolves_to":[{}],"evolves_to":[{"species":[]}]}}',
+           '{"chain":{"species":{"name":"\\q"}}}', '{"chain":{"x":"\\q","evolves_to":[{"species":{"name":1-2}}]}}', '{"chain":{"x":NaN}}', '{"chain":{"species":{"name":01}}}',
+           '{"chain":[{"species":{"name":"a"}}]}', '{"chain":{"evolves_to":{"evolves_to":[{}]}}}', '{"chain":{"evolves_to":[[{}],{"species":{"name":null}}]}}']
+
+    def got(f, body):
+        try:
+            return f(body, ROOT, CHILD, NAME)
+        except ValueError as e:
+            return type(e)
+    assert [got(TO.number_nodes, b) for b in odd] == [got(TO.scanned_nodes, b) for b in odd]
+    assert TO.number_nodes(odd[0], ROOT, CHILD, NAME) == [[1, 1, 1, None, "-2e3"], [2, 4, 1, None, "true"], [3, 3, 2, 2, None], [4, 4, 2, 2, None]]
+    assert TO.number_nodes(deep(20_000), ROOT, CHILD, NAME) == TO.scanned_nodes(deep(20_000), ROOT, CHILD, NAME)
+
+
+def test_descendants_number_each_document_once(spark):
+    from nestrel.plans import catalog as C
+    from tests.conftest import SF_SMALL
+    p = C.QUERIES["tree_descendants"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in p and "Join" in p            # before: the numbering ran on both sides of the join
