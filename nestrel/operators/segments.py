@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from nestrel.functions.search import query_lexeme_list
-from nestrel.operators.search import build_index, write_index
-from nestrel.sources.publish import append_entry, entries
+from nestrel.functions.search import lexemes, query_lexeme_list
+from nestrel.operators.search import write_index
+from nestrel.sources.publish import append_entry, entries, written
 
 CHANGES = "id long, text string, deleted boolean, seq long"      # a NULL ``deleted`` is false
 POSTINGS, LOG = "term string, id long", "id long"
@@ -45,9 +45,10 @@ def apply_changes(changes: DataFrame, root: str, batch: int, kind: str = "exact"
             .agg(F.max_by(F.struct("text", F.coalesce("deleted", F.lit(False)).alias("deleted")), F.coalesce("seq", F.lit(0))).alias("x"))
             .select("id", "x.text", "x.deleted"))
     path = f"{root}/changed/batch={batch}"
-    last.write.mode("overwrite").parquet(path)           # read twice below, evaluated once
-    held = spark.read.schema("id long, text string, deleted boolean").parquet(path)
-    write_index(build_index(held.where("NOT deleted"), "id", "text", kind), f"{root}/segments/batch={batch}", id_col="id")
+    # the terms are made once; ranges are found in a first pass over them and filled in a second one
+    last.select("id", F.when(~F.col("deleted"), lexemes(F.col("text"), kind)).alias("terms")).write.mode("overwrite").parquet(path)
+    held = spark.read.schema("id long, terms array<string>").parquet(path)
+    write_index(held.select(F.explode("terms").alias("term"), "id"), f"{root}/segments/batch={batch}", id_col="id")
     append_entry(spark, f"{root}/ledger", {"batch": batch})
     return True
 
@@ -71,7 +72,11 @@ def postings(spark: SparkSession, root: str, terms: Sequence[str] | None = None)
     if later:
         changed = spark.read.schema("id long, batch int").option("basePath", f"{root}/changed") \
             .parquet(*[f"{root}/changed/batch={b}" for b in later])
-        newest = changed.groupBy("id").agg(F.max("batch").alias("newest"))
+        newest = changed.groupBy("id").agg(F.max("batch").alias("newest"), F.min("batch").alias("oldest"))
+        if not base:                    # ids that one batch lists lose no posting
+            newest = newest.where("oldest < newest")
+            if terms is None:           # all postings are joined: with a table whose size is known, mostly a small one
+                newest = written(newest, "replaced")
         found = found.join(newest, "id", "left").where("newest IS NULL OR newest <= batch")
     return found.select("term", "id")
 

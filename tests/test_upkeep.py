@@ -247,3 +247,17 @@ def test_pages_are_the_sorted_rows(spark):
     assert R.client_page(df.limit(0), ["a"], 5)[1] is None and R.page_directory(df.limit(0), ["a"], 5).count() == 0
     plan = plan_of(df.where((F.col("a") >= 3)).orderBy("a", "b").limit(21))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_a_segment_is_made_from_terms_that_are_made_once(spark, scratch):
+    """Ranges are found in one pass and filled in another; both read the terms that the batch wrote."""
+    root = f"{scratch}/index"
+    rows = [(1, "Red apples, red pears", False, 1), (2, "blue", True, 1), (3, None, False, 1), (4, "", None, 1), (5, "late", True, 1), (5, "pears", None, 2)]
+    assert SG.apply_changes(spark.createDataFrame(rows, SG.CHANGES), root, 0)
+    held = spark.read.parquet(f"{root}/changed/batch=0")
+    assert {r.id: r.terms and sorted(r.terms) for r in held.select("id", "terms").collect()} == {
+        1: ["apples", "pears", "red"], 2: None, 3: None, 4: [], 5: ["pears"]}
+    assert sorted(SG.postings(spark, root).collect()) == [("apples", 1), ("pears", 1), ("pears", 5), ("red", 1)]
+    assert SG.apply_changes(spark.createDataFrame([(1, "green", False, 1)], SG.CHANGES), root, 1)
+    assert sorted(SG.postings(spark, root).collect()) == [("green", 1), ("pears", 5)]
+    assert SG.merge(spark, root) and sorted(SG.postings(spark, root).collect()) == [("green", 1), ("pears", 5)]
