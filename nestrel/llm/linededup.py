@@ -31,9 +31,9 @@ _LOW = -(1 << 63)
 
 
 def _numbered(distinct: DataFrame, keys: list[str]) -> DataFrame:
-    """Ranks > 0 in the order of ``keys`` (not dense; range partitions count their own)."""
-    return materialize(distinct.orderBy(*keys).select(*keys, (F.monotonically_increasing_id() + 1).alias("new")),
-                       "ranks")
+    """Ranks > 0 in the order of ``keys`` (not dense; range partitions count their own). The keys
+    are distinct, so a range that is made again has the same ranks."""
+    return distinct.orderBy(*keys).select(*keys, (F.monotonically_increasing_id() + 1).alias("new"))
 
 
 def _document(id_col: str, text_col: str) -> list[Column]:
@@ -60,9 +60,10 @@ def repeated_lines(docs: DataFrame, min_words: int, id_col: str, text_col: str)
 
     by_doc = Window.partitionBy("__d", "__t").orderBy("pos")
     pos = F.row_number().over(Window.partitionBy("__d", "__t").orderBy("ln"))
-    state = materialize(
-        lines.select("__d", "__t", "ln", "w", "h", pos.alias("pos")).join(ids, "h")
-        .select("__d", "__t", "pos", "ln", "w", F.array("new").alias("r")), "ranks")
+    # what is read once, ranks and the lines that carry them, is not written: every file costs
+    # its task a process or two for the permissions, beside the time
+    state = (lines.select("__d", "__t", "ln", "w", "h", pos.alias("pos")).join(ids, "h")
+             .select("__d", "__t", "pos", "ln", "w", F.array("new").alias("r")))
     h = 1
     while 2 * h <= min_words:
         here = F.element_at("r", -1)
@@ -72,8 +73,8 @@ def repeated_lines(docs: DataFrame, min_words: int, id_col: str, text_col: str)
             .otherwise(F.lit(0)).alias("b"))
         pairs = materialize(pairs, "pairs")
         new = _numbered(pairs.groupBy("a", "b").agg(F.lit(1)).select("a", "b"), ["a", "b"])
-        state = materialize(pairs.join(new, ["a", "b"]).select(
-            "__d", "__t", "pos", "ln", "w", F.concat("r", F.array("new")).alias("r")), "ranks")
+        state = pairs.join(new, ["a", "b"]).select(
+            "__d", "__t", "pos", "ln", "w", F.concat("r", F.array("new")).alias("r"))
         h *= 2
 
     cell = F.struct("pos", "ln", "w", "r")

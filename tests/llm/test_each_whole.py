@@ -185,3 +185,14 @@ def test_line_runs_beside_columns_of_any_name(spark):
                                "doc_id long, text string, `__t` int, `__d` int, `__gone` int")
     got = {r.doc_id: r for r in linededup.delete_repeated_runs(df).collect()}
     assert got[1].text.startswith("first") and got[2].text == "last" and (got[2]["__t"], got[2]["__d"], got[2]["__gone"]) == (4, 5, 6)
+
+
+def test_line_runs_write_only_what_is_read_twice(spark, monkeypatch):
+    """Every written table costs each of its tasks processes that set permissions; ranks and lines read once are not written."""
+    seen = []
+    monkeypatch.setattr(linededup, "materialize", lambda df, tag, real=linededup.materialize: (seen.append(tag), real(df, tag))[1])
+    run = "\n".join(f"line {i} of a passage" for i in range(12))
+    df = spark.createDataFrame([(i, f"own words of {i}\n{run}\nmore of {i}") for i in range(6)] + [(9, None)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linededup.delete_repeated_runs(df).collect()}
+    assert got == {0: f"own words of 0\n{run}\nmore of 0", 9: None} | {i: f"own words of {i}\nmore of {i}" for i in range(1, 6)}
+    assert seen == ["lines", "pairs", "pairs", "pairs", "runs", "gone"]
